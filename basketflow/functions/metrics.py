@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import GMV_TYPE, PRICE_TYPE
+from ..schema import GMV_TYPE
 
 
 def is_type(event_type: str) -> Column:
@@ -25,10 +27,28 @@ def cond_distinct(event_type: str, column: str = "user_id") -> Column:
     return F.count_distinct(F.when(is_type(event_type), F.col(column)))
 
 
+def cents(amount: str = "price") -> Column:
+    """A two-digit amount as whole cents.
+
+    Sums of LONG stay in generated arithmetic; sums of decimals this wide build an object per
+    row and cost about as much as the rest of a daily aggregate together.
+    """
+    return (F.col(amount) * 100).cast("bigint")
+
+
+def cond_cents(event_type: str, amount: str = "price") -> Column:
+    """Sum in cents over events of one type; 0, not null, when there are none."""
+    total = F.sum(F.when(is_type(event_type), cents(amount)).otherwise(F.lit(0).cast("bigint")))
+    return F.coalesce(total, F.lit(0).cast("bigint"))
+
+
+def money(total_cents: Column) -> Column:
+    """Cents back to an exact decimal amount."""
+    return (total_cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(GMV_TYPE)
+
+
 def cond_sum(event_type: str, amount: str = "price") -> Column:
-    """Sum over events of one type; 0, not null, when there are none."""
-    zero = F.lit(0).cast(PRICE_TYPE)
-    return F.coalesce(F.sum(F.when(is_type(event_type), F.col(amount)).otherwise(zero)), zero)
+    return money(cond_cents(event_type, amount))
 
 
 def approx_uv(user: str | Column = "user_id", lg_k: int = 14) -> Column:

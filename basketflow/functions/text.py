@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,21 +25,31 @@ BEST_EFFORT_FORMATS = (
 )
 
 # All characters up to and including the space count as blanks.
-_BLANK_ENDS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+BLANKS = "".join(map(chr, range(33)))
 
 
 def strip_blanks(c: Column) -> Column:
-    return F.regexp_replace(c, _BLANK_ENDS, "")
+    return F.btrim(c, F.lit(BLANKS))
+
+
+def once(value: Column) -> Column:
+    """Compute ``value`` one time per row.
+
+    A generator keeps the optimizer from copying the expression into every filter and column
+    that uses it. Use it as a column of a select.
+    """
+    return F.explode(F.array(value))
 
 
 def split_fields(line: Column) -> Column:
     """Comma fields with trailing empty ones removed (no quoting rules)."""
-    return F.split(F.regexp_replace(line, r",+$", ""), ",", -1)
+    return F.split(F.rtrim(line, F.lit(",")), ",", -1)
 
 
 def parse_source_time(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` with an optional `` UTC`` suffix; null when it does not parse."""
-    bare = F.regexp_replace(strip_blanks(text), r" UTC$", "")
+    whole = strip_blanks(text)
+    bare = F.when(whole.endswith(" UTC"), F.left(whole, F.length(whole) - 4)).otherwise(whole)
     return F.try_to_timestamp(bare, F.lit(SOURCE_TIME_FORMAT))
 
 
@@ -68,7 +80,8 @@ def unsigned_or_zero(text: Column, bits: int) -> Column:
 
 def _price(text: Column) -> Column:
     """Decimal straight from the text; digits beyond the second decimal are discarded."""
-    return F.regexp_replace(text, r"(\.[0-9]{2})[0-9]+$", "$1").try_cast(PRICE_TYPE)
+    exact = text.try_cast("decimal(18,8)")
+    return (exact - exact % F.lit(Decimal("0.01"))).try_cast(PRICE_TYPE)
 
 
 def price_or_null(text: Column) -> Column:

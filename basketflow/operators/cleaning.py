@@ -21,9 +21,9 @@ def clean_events(lines: DataFrame, column: str = "value") -> DataFrame:
     Works on batch and streaming frames alike: only per-row expressions are used.
     """
     fields = tx.split_fields(tx.strip_blanks(F.col(column)))
-    rows = lines.select(fields.alias("f")).filter(F.size("f") == 9)
+    rows = lines.select(tx.once(fields).alias("f")).filter(F.size("f") == 9)
     field = [tx.strip_blanks(F.col("f")[i]) for i in range(9)]
-    typed = rows.filter(field[1].isin(*EVENT_TYPES)).select(
+    typed = rows.filter(field[1].isin(*EVENT_TYPES)).select(F.inline(F.array(F.struct(
         tx.parse_source_time(field[0]).alias("event_time"),
         field[1].alias("event_type"),
         tx.integer_or_null(field[2]).alias("product_id"),
@@ -33,7 +33,7 @@ def clean_events(lines: DataFrame, column: str = "value") -> DataFrame:
         tx.price_or_null(field[6]).alias("price"),
         tx.integer_or_null(field[7]).alias("user_id"),
         field[8].alias("session_id"),
-    )
+    ))))
     required = ("event_time", "product_id", "category_id", "price", "user_id")
     valid = F.col("event_time").between(F.lit(EARLIEST), F.lit(LATEST))
     for name in required[1:]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import as_gmv, cond_count, cond_sum
+from ..functions.metrics import cond_cents, cond_count, money
 from ..schema import CART, PURCHASE, VIEW
 
 
@@ -19,7 +19,7 @@ def per_user(events: DataFrame, *dims: str | Column) -> DataFrame:
         cond_count(VIEW).alias("view_cnt"),
         cond_count(CART).alias("cart_cnt"),
         cond_count(PURCHASE).alias("purchase_cnt"),
-        cond_sum(PURCHASE).alias("gmv"),
+        cond_cents(PURCHASE).alias("cents"),
     )
 
 
@@ -36,7 +36,7 @@ def fold_users(users: DataFrame, *dims: str | Column) -> DataFrame:
         F.count_if(F.col("view_cnt") > 0).alias("view_uv"),
         F.count_if(F.col("cart_cnt") > 0).alias("cart_uv"),
         F.count_if(F.col("purchase_cnt") > 0).alias("purchase_uv"),
-        as_gmv(F.sum("gmv")).alias("gmv"),
+        money(F.sum("cents")).alias("gmv"),
     )
 
 

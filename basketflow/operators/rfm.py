@@ -35,7 +35,7 @@ def rfm_base(events: DataFrame) -> DataFrame:
     users = events.groupBy("user_id").agg(
         F.max("event_date").alias("last_date"),
         F.count(F.lit(1)).alias("frequency"),
-        as_gmv(cond_sum(PURCHASE)).alias("monetary"))
+        cond_sum(PURCHASE).alias("monetary"))
     return users.select(
         "user_id", F.datediff(today, "last_date").alias("recency_days"),
         "frequency", "monetary")

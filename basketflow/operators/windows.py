@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import approx_uv, as_gmv, cond_count, cond_sum, is_type
+from ..functions.metrics import approx_uv, cond_cents, cond_count, is_type, money
 from ..schema import PURCHASE, VIEW
 
 GLOBAL_WIDTH = "1 second"
@@ -23,7 +23,7 @@ def window_metrics(events: DataFrame, width: str, *keys: str, exact_uv: bool = T
         events = events.filter(F.col("event_type").isin(VIEW, PURCHASE))
     window = F.window("event_time", width)
     measures = [cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
-                cond_sum(PURCHASE).alias("gmv")]
+                cond_cents(PURCHASE).alias("cents")]
     if exact_uv:
         users = events.groupBy(window.alias("w"), *keys, "user_id").agg(*measures)
         outer = F.window(F.window_time("w"), width) if events.isStreaming else F.col("w")
@@ -31,14 +31,14 @@ def window_metrics(events: DataFrame, width: str, *keys: str, exact_uv: bool = T
             F.sum("pv").alias("pv"),
             F.count_if(F.col("pv") > 0).alias("uv"),
             F.sum("purchase_cnt").alias("purchase_cnt"),
-            as_gmv(F.sum("gmv")).alias("gmv"))
+            F.sum("cents").alias("cents"))
     else:
         viewers = approx_uv(F.when(is_type(VIEW), F.col("user_id")))
         stats = events.groupBy(window.alias("w"), *keys).agg(*measures, viewers.alias("uv"))
     filled = stats.filter((F.col("pv") > 0) | (F.col("purchase_cnt") > 0))
     return filled.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        *keys, "pv", "uv", "purchase_cnt", as_gmv(F.col("gmv")).alias("gmv"))
+        *keys, "pv", "uv", "purchase_cnt", money(F.col("cents")).alias("gmv"))
 
 
 def global_windows(events: DataFrame, width: str = GLOBAL_WIDTH, **options) -> DataFrame:

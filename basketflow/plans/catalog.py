@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..functions.metrics import (
-    approx_uv, as_gmv, avg_order_value, cond_count, cond_distinct, cond_sum,
+    approx_uv, avg_order_value, cond_count, cond_distinct, cond_sum,
 )
 from ..operators import cleaning, dim_user, funnel, grain, latest, replay, retention, rfm, rollups
 from ..operators import windows as win
@@ -235,7 +235,7 @@ def cond_distinct_daily(events):
 
 @query()
 def cond_sum_daily(events):
-    return events.groupBy("event_date").agg(as_gmv(cond_sum(PURCHASE)).alias("gmv"))
+    return events.groupBy("event_date").agg(cond_sum(PURCHASE).alias("gmv"))
 
 
 @query()

@@ -75,7 +75,7 @@ def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True) -
     order = [F.col("gmv").desc(), F.col("product_id")]
     totals = events.groupBy("product_id").agg(
         cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
-        as_gmv(cond_sum(PURCHASE)).alias("gmv"))
+        cond_sum(PURCHASE).alias("gmv"))
     top = order_limit(totals, order, limit)
     if limit <= FEW_PRODUCTS:
         ids = F.broadcast(top.select("product_id"))
