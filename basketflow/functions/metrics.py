@@ -19,11 +19,7 @@ def cond_count(event_type: str) -> Column:
 
 
 def cond_distinct(event_type: str, column: str = "user_id") -> Column:
-    """Exact distinct of ``column`` over events of one type.
-
-    Several of these in one aggregate make Spark expand every row; prefer
-    ``operators.grain`` when a table needs more than one.
-    """
+    """Exact distinct of ``column`` over events of one type."""
     return F.count_distinct(F.when(is_type(event_type), F.col(column)))
 
 

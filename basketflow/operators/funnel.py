@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import rate
 from ..schema import FUNNEL_DAILY
-from .grain import dimension_metrics
+from .grain import fold_users, per_user
 
 
 def funnel_daily(events: DataFrame) -> DataFrame:
     """Event-level view / cart / purchase counts, users and rates per day."""
-    daily = dimension_metrics(events, "event_date")
+    daily = fold_users(per_user(events, "event_date"), "event_date")
     views = F.col("view_cnt")
     return FUNNEL_DAILY.conform(daily.withColumns({
         "cart_rate": rate(F.col("cart_cnt"), views),

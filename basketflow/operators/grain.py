@@ -1,8 +1,12 @@
-"""The shared two-step aggregation: one row per (dimensions, user), then one per dimensions.
+"""Counts and exact distinct users per dimensions, in two steps.
 
-Step one collapses repeats of a user map-side, so a user or a day holding a third of all rows
-reaches the shuffle as one partial row per task. Step two counts users by counting rows, which
-gives exact distinct users without expanding every event once per distinct column.
+Both shapes below first aggregate per (dimensions, counted value) and then per dimensions. The
+first step combines map-side, so a user, product or day holding a third of all rows reaches the
+shuffle as one partial row per task.
+
+``per_user`` + ``fold_users`` suit several user counts over the same users: one row per user
+carries them all. ``type_counts`` with ``cond_distinct`` suits one user count: only the users
+being counted travel, all other rows collapse per dimensions.
 """
 
 from __future__ import annotations
@@ -40,8 +44,14 @@ def fold_users(users: DataFrame, *dims: str | Column) -> DataFrame:
     )
 
 
-def dimension_metrics(events: DataFrame, *dims: str) -> DataFrame:
-    return fold_users(per_user(events, *dims), *dims)
+def type_counts() -> list[Column]:
+    """Counts per event type and sales in cents."""
+    return [
+        cond_count(VIEW).alias("view_cnt"),
+        cond_count(CART).alias("cart_cnt"),
+        cond_count(PURCHASE).alias("purchase_cnt"),
+        money(cond_cents(PURCHASE)).alias("gmv"),
+    ]
 
 
 def distinct_count(rows: DataFrame, dims: list[str], column: str, name: str) -> DataFrame:

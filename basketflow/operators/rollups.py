@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import rate
-from ..schema import ACTIVE_USER_DAILY, BRAND_STATS, CATEGORY_STATS, ITEM_STATS
-from .grain import dimension_metrics, distinct_count, fold_users, per_user
+from ..functions.metrics import cond_distinct, rate
+from ..schema import ACTIVE_USER_DAILY, BRAND_STATS, CATEGORY_STATS, ITEM_STATS, PURCHASE, VIEW
+from .grain import distinct_count, fold_users, per_user, type_counts
 
 
 def carried_label(events: DataFrame, key: list[str], label: str) -> DataFrame:
@@ -22,36 +22,31 @@ def carried_label(events: DataFrame, key: list[str], label: str) -> DataFrame:
 
 def item_stats_daily(events: DataFrame) -> DataFrame:
     key = list(ITEM_STATS.key)
-    stats = dimension_metrics(events, *key)
+    stats = events.groupBy(*key).agg(*type_counts(), cond_distinct(VIEW).alias("view_uv"))
     stats = stats.withColumn("buy_rate", rate(F.col("purchase_cnt"), F.col("view_cnt")))
     return ITEM_STATS.conform(stats.join(carried_label(events, key, "brand"), key))
 
 
 def category_stats_daily(events: DataFrame) -> DataFrame:
     key = list(CATEGORY_STATS.key)
-    stats = dimension_metrics(events, *key)
+    stats = events.groupBy(*key).agg(
+        *type_counts(), cond_distinct(VIEW).alias("view_uv"),
+        F.count_distinct("product_id").alias("product_cnt"))
     stats = stats.withColumn("buy_rate", rate(F.col("purchase_cnt"), F.col("view_cnt")))
-    labels = _products_and_label(events, key, "category_code")
-    return CATEGORY_STATS.conform(stats.join(labels, key))
-
-
-def _products_and_label(events: DataFrame, key: list[str], label: str) -> DataFrame:
-    products = (events.select(*key, "product_id", label).distinct()
-                .groupBy(*key, "product_id").agg(F.max(label).alias(label)))
-    return products.groupBy(*key).agg(
-        F.count("product_id").alias("product_cnt"), F.max(label).alias(label))
+    return CATEGORY_STATS.conform(stats.join(carried_label(events, key, "category_code"), key))
 
 
 def brand_stats_daily(events: DataFrame) -> DataFrame:
     key = list(BRAND_STATS.key)
-    stats = dimension_metrics(events, *key).withColumnRenamed("purchase_uv", "buyer_uv")
+    stats = events.groupBy(*key).agg(
+        *type_counts(), cond_distinct(VIEW).alias("view_uv"),
+        cond_distinct(PURCHASE).alias("buyer_uv"),
+        F.count_distinct("product_id").alias("product_cnt"))
     bought = F.col("purchase_cnt")
-    stats = stats.withColumns({
+    return BRAND_STATS.conform(stats.withColumns({
         "avg_price": F.when(bought > 0, (F.col("gmv") / bought).cast("decimal(10,2)")),
         "buy_rate": rate(bought, F.col("view_cnt")),
-    })
-    products = distinct_count(events, key, "product_id", "product_cnt")
-    return BRAND_STATS.conform(stats.join(products, key))
+    }))
 
 
 def active_user_daily(events: DataFrame) -> DataFrame:

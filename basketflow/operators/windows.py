@@ -22,19 +22,21 @@ def window_metrics(events: DataFrame, width: str, *keys: str, exact_uv: bool = T
         # Streams keep cart events: they still move the watermark.
         events = events.filter(F.col("event_type").isin(VIEW, PURCHASE))
     window = F.window("event_time", width)
+    viewer = F.when(is_type(VIEW), F.col("user_id"))
     measures = [cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
                 cond_cents(PURCHASE).alias("cents")]
     if exact_uv:
-        users = events.groupBy(window.alias("w"), *keys, "user_id").agg(*measures)
+        # One row per viewer and one for everything else: this is also the stream's state.
+        viewers = events.groupBy(window.alias("w"), *keys, viewer.alias("viewer")).agg(*measures)
         outer = F.window(F.window_time("w"), width) if events.isStreaming else F.col("w")
-        stats = users.groupBy(outer.alias("w"), *keys).agg(
+        stats = viewers.groupBy(outer.alias("w"), *keys).agg(
             F.sum("pv").alias("pv"),
-            F.count_if(F.col("pv") > 0).alias("uv"),
+            F.count("viewer").alias("uv"),
             F.sum("purchase_cnt").alias("purchase_cnt"),
             F.sum("cents").alias("cents"))
     else:
-        viewers = approx_uv(F.when(is_type(VIEW), F.col("user_id")))
-        stats = events.groupBy(window.alias("w"), *keys).agg(*measures, viewers.alias("uv"))
+        stats = events.groupBy(window.alias("w"), *keys).agg(
+            *measures, approx_uv(viewer).alias("uv"))
     filled = stats.filter((F.col("pv") > 0) | (F.col("purchase_cnt") > 0))
     return filled.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),

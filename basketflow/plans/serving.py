@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import approx_uv, as_gmv, avg_order_value, cond_count, cond_sum
-from ..operators.grain import fold_users, per_user
 from ..operators.latest import order_limit, rank_position
 from ..operators.retention import MAX_OFFSET, retention_curve
 from ..operators.rfm import HIGH_VALUE, segment_summary, segment_totals
@@ -93,10 +92,10 @@ def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True) -
 
 def product_metrics(events: DataFrame) -> DataFrame:
     """The same measures for the whole catalogue."""
-    stats = fold_users(per_user(events, "product_id"), "product_id")
-    return stats.select(
-        "product_id", F.col("view_cnt").alias("pv"), "purchase_cnt",
-        F.col("any_uv").alias("uv"), "gmv").join(any_brand(events), "product_id")
+    stats = events.groupBy("product_id").agg(
+        cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
+        F.count_distinct("user_id").alias("uv"), cond_sum(PURCHASE).alias("gmv"))
+    return stats.join(any_brand(events), "product_id")
 
 
 def ranking_table(ranking: DataFrame, key: str) -> DataFrame:
