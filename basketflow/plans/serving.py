@@ -68,8 +68,8 @@ def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True) -
     """Best sellers from detail; ``uv`` counts users of any behaviour.
 
     Only the winners' users are counted: sales are totalled per product first, then the few
-    winning ids select the rows whose users matter. Pairs of product and user for the rest of
-    the catalogue never reach a shuffle.
+    winners, carrying their totals, select the rows whose users matter. Pairs of product and
+    user for the rest of the catalogue never reach a shuffle, and detail is read twice in all.
     """
     order = [F.col("gmv").desc(), F.col("product_id")]
     totals = events.groupBy("product_id").agg(
@@ -77,17 +77,17 @@ def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True) -
         cond_sum(PURCHASE).alias("gmv"))
     top = order_limit(totals, order, limit)
     if limit <= FEW_PRODUCTS:
-        ids = F.broadcast(top.select("product_id"))
-    else:
-        ids = top.select("product_id")
-    winners = events.select("product_id", "brand", "user_id").join(ids, "product_id", "left_semi")
+        top = F.broadcast(top)
+    winners = events.select("product_id", "brand", "user_id").join(top, "product_id")
+    measures = ["product_id", "pv", "purchase_cnt", "gmv"]
     if exact_uv:
-        users = (winners.select("product_id", "user_id").distinct()
-                 .groupBy("product_id").agg(F.count("user_id").alias("uv")))
+        uv = F.count_distinct("user_id")
+        winners = winners.select(*measures, "brand", "user_id").distinct()
     else:
-        users = winners.groupBy("product_id").agg(approx_uv().alias("uv"))
-    described = top.join(users, "product_id").join(any_brand(winners), "product_id")
-    return described.select("product_id", "brand", "pv", "purchase_cnt", "uv", "gmv").orderBy(*order)
+        uv = approx_uv()
+    described = winners.groupBy(*measures).agg(uv.alias("uv"), F.max("brand").alias("brand"))
+    return described.select(
+        "product_id", "brand", "pv", "purchase_cnt", "uv", "gmv").orderBy(*order)
 
 
 def product_metrics(events: DataFrame) -> DataFrame:
