@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import cond_distinct, rate
 from ..schema import ACTIVE_USER_DAILY, BRAND_STATS, CATEGORY_STATS, ITEM_STATS, PURCHASE, VIEW
-from .grain import distinct_count, fold_users, per_user, type_counts
+from .grain import distinct_count, per_user, type_counts
 
 
 def carried_label(events: DataFrame, key: list[str], label: str) -> DataFrame:
@@ -50,15 +50,20 @@ def brand_stats_daily(events: DataFrame) -> DataFrame:
 
 
 def active_user_daily(events: DataFrame) -> DataFrame:
-    """Active users, viewers, buyers, first-seen users and sessions per day."""
-    users = per_user(events, "event_date")
-    daily = fold_users(users, "event_date").withColumnRenamed("any_uv", "dau")
-    first_seen = (users.groupBy("user_id").agg(F.min("event_date").alias("event_date"))
-                  .groupBy("event_date").agg(F.count(F.lit(1)).alias("new_user")))
+    """Active users, viewers, buyers, first-seen users and sessions per day.
+
+    A user's first day comes from a window over that user's days (one row per day at most), so
+    the user days are read and shuffled once for all four user counts.
+    """
+    first_day = F.min("event_date").over(Window.partitionBy("user_id"))
+    users = per_user(events, "event_date").withColumn("first_day", first_day)
+    daily = users.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("dau"),
+        F.count_if(F.col("view_cnt") > 0).alias("view_uv"),
+        F.count_if(F.col("purchase_cnt") > 0).alias("purchase_uv"),
+        F.count_if(F.col("first_day") == F.col("event_date")).alias("new_user"))
     sessions = distinct_count(events, ["event_date"], "session_id", "session_cnt")
-    table = (daily.join(first_seen, "event_date", "left").join(sessions, "event_date")
-             .withColumn("new_user", F.coalesce("new_user", F.lit(0))))
-    return ACTIVE_USER_DAILY.conform(table)
+    return ACTIVE_USER_DAILY.conform(daily.join(sessions, "event_date"))
 
 
 def any_brand(events: DataFrame) -> DataFrame:

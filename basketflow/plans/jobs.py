@@ -1,28 +1,30 @@
-"""Batch jobs over the detail table, runnable with spark-submit.
-
-    spark-submit -m basketflow.plans.jobs funnel    --detail D --out O [--start 2019-10-01 --end 2019-11-30]
-    spark-submit -m basketflow.plans.jobs retention --detail D --out O
-"""
+"""The jobs behind ``run_job.py``: history load, batch tables, stream and replay."""
 
 from __future__ import annotations
 
 import argparse
 import time
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.cleaning import clean_events, coarse_valid, filter_date_range
 from ..operators.dim_user import dim_user
 from ..operators.funnel import funnel_daily
-from ..operators.cleaning import filter_date_range
+from ..operators.replay import replay_slices, shift_lines
 from ..operators.retention import retention_matrix
 from ..operators.rfm import user_profile
 from ..operators.rollups import (
     active_user_daily, brand_stats_daily, category_stats_daily, item_stats_daily,
 )
+from ..functions.text import parse_source_time
 from ..session import build_session
+from ..sources.external import kafka_lines, write_kafka
 from ..sources.files import bulk_load, read_detail, read_raw_csv, write_detail, write_replace
+from ..streaming.queries import start_all
 
-# Tables that a rerun over a date range may replace day by day.
+# Tables a rerun over a date range replaces day by day.
 DAILY = {
     "funnel": funnel_daily,
     "items": item_stats_daily,
@@ -38,42 +40,76 @@ WHOLE = {
 }
 
 
-def run_daily(spark: SparkSession, name: str, detail: str, out: str,
-              start=None, end=None) -> None:
-    events = filter_date_range(read_detail(spark, detail), start, end)
-    write_replace(DAILY[name](events), out, "event_date")
-
-
-def run_whole(spark: SparkSession, name: str, detail: str, out: str) -> None:
-    write_replace(WHOLE[name](read_detail(spark, detail)), out)
+def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
+    write_detail(bulk_load(read_raw_csv(spark, args.csv), args.max_unreadable), args.out)
 
 
-def run_load(spark: SparkSession, csv: str, out: str, max_unreadable: int | None) -> None:
-    raw: DataFrame = read_raw_csv(spark, csv)
-    write_detail(bulk_load(raw, max_unreadable), out)
+def run_table(spark: SparkSession, args: argparse.Namespace) -> None:
+    detail = read_detail(spark, args.detail)
+    if args.job in DAILY:
+        days = filter_date_range(detail, args.start, args.end)
+        write_replace(DAILY[args.job](days), args.out, "event_date")
+    else:
+        write_replace(WHOLE[args.job](detail), args.out)
 
 
-def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="basketflow")
-    parser.add_argument("job", choices=["load", *DAILY, *WHOLE])
-    parser.add_argument("--csv")
-    parser.add_argument("--detail")
-    parser.add_argument("--out", required=True)
-    parser.add_argument("--start")
-    parser.add_argument("--end")
-    parser.add_argument("--max-unreadable", type=int)
+def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Lines from a topic or from text files arriving in a folder, into four tables."""
+    if args.servers:
+        lines = kafka_lines(spark, args.servers, args.topic)
+    else:
+        lines = spark.readStream.text(args.lines)
+    running = start_all(
+        clean_events(lines), args.out, args.checkpoints,
+        {"availableNow": True} if args.once else None, first_version=args.first_version,
+        global_width=f"{args.global_seconds} seconds",
+        dimension_width=f"{args.dimension_seconds} seconds")
+    for query in running.values():
+        query.awaitTermination()
+
+
+def replay_lines(spark: SparkSession, path: str, anchor: datetime | None) -> DataFrame:
+    """Valid raw lines, optionally moved so the newest lands on ``anchor``."""
+    lines = coarse_valid(spark.read.text(path))
+    return lines if anchor is None else shift_lines(lines, F.lit(anchor))
+
+
+def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Ordered lines to a topic keyed by user, or to one folder per time slice."""
+    anchor = datetime.now(timezone.utc) if args.shift_to_now else None
+    lines = replay_lines(spark, args.csv, anchor).select(
+        "value", F.split("value", ",")[7].alias("key"),
+        parse_source_time(F.substring_index("value", ",", 1)).alias("event_time"))
+    ordered = replay_slices(lines, args.slices)
+    if args.servers:
+        write_kafka(ordered, args.servers, args.topic)
+    else:
+        ordered.select("value", "slice").write.mode("overwrite").partitionBy("slice").text(args.out)
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    parser = argparse.ArgumentParser(prog="run_job.py")
+    parser.add_argument("job", choices=["load", "stream", "replay", *DAILY, *WHOLE])
+    parser.add_argument("--csv", help="raw history with a header line")
+    parser.add_argument("--detail", help="detail table folder")
+    parser.add_argument("--out", help="folder of the result")
+    parser.add_argument("--start", help="first day, inclusive")
+    parser.add_argument("--end", help="last day, inclusive")
+    parser.add_argument("--max-unreadable", type=int, help="error budget of the load")
+    parser.add_argument("--lines", help="folder the stream reads text files from")
+    parser.add_argument("--servers", help="message broker, instead of folders")
+    parser.add_argument("--topic", default="user_behavior_log")
+    parser.add_argument("--checkpoints", help="checkpoint folder of the stream")
+    parser.add_argument("--once", action="store_true", help="stop after the available data")
+    parser.add_argument("--first-version", type=int, default=0)
+    parser.add_argument("--global-seconds", type=int, default=1)
+    parser.add_argument("--dimension-seconds", type=int, default=60)
+    parser.add_argument("--shift-to-now", action="store_true")
+    parser.add_argument("--slices", type=int, default=64)
     args = parser.parse_args(argv)
 
-    spark = build_session(f"basketflow-{args.job}")
+    spark = spark or build_session(f"basketflow-{args.job}")
     began = time.monotonic()
-    if args.job == "load":
-        run_load(spark, args.csv, args.out, args.max_unreadable)
-    elif args.job in DAILY:
-        run_daily(spark, args.job, args.detail, args.out, args.start, args.end)
-    else:
-        run_whole(spark, args.job, args.detail, args.out)
+    job = {"load": run_load, "stream": run_stream, "replay": run_replay}.get(args.job, run_table)
+    job(spark, args)
     print(f"{args.job}: {time.monotonic() - began:.1f} s")
-
-
-if __name__ == "__main__":
-    main()

@@ -12,6 +12,7 @@ from basketflow.operators.funnel import funnel_daily
 from basketflow.operators.replay import replay_slices
 from basketflow.operators.rollups import item_stats_daily
 from basketflow.plans.serving import product_ranking
+from basketflow.session import tune
 from basketflow.sources.files import read_detail, write_detail
 from builders import events, row
 
@@ -95,3 +96,33 @@ def test_map_side_combine_collapses_the_hot_user(frame):
     assert pairs < N
     plan = funnel_daily(frame)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_count") > 0
+
+
+def test_skewed_join_is_split_before_a_grouping_on_its_key(spark, sf_dir):
+    """A product join already clusters by product. Only the forced split keeps a later grouping
+    by product from leaving a hot product in one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tune(spark)
+        products = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+            F.col("p_partkey").alias("product_id"), "p_brand")
+        spread = F.pmod(F.xxhash64("id"), F.lit(200))
+        big = spark.range(0, 200_000, 1, 6).select(
+            "id", F.when(F.col("id") % 3 == 0, 1).otherwise(spread).alias("product_id"))
+        payload = F.xxhash64("id", "p_brand") % 1000
+        counted = big.join(products, "product_id").groupBy("product_id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(payload).alias("s"))
+        assert sum(r.n for r in counted.collect()) == 200_000
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
