@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -17,7 +17,7 @@ from ..functions.metrics import (
 )
 from ..operators import cleaning, dim_user, funnel, grain, latest, replay, retention, rfm, rollups
 from ..operators import windows as win
-from ..schema import CART, FUNNEL_DAILY, PURCHASE, REALTIME_BRAND, VIEW
+from ..schema import CART, FUNNEL_DAILY, PURCHASE, REALTIME_BRAND, TABLES, VIEW
 from ..session import scratch_path, streaming_session, tune
 from ..sources import files, star
 from ..streaming import queries as streams
@@ -26,7 +26,7 @@ from . import serving
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The replay anchor used by the shift queries.
-ANCHOR = datetime(2024, 6, 1, 12, 0, 0)
+ANCHOR = datetime(2024, 6, 1, 12, 0, 0, tzinfo=timezone.utc)
 RANGE = ("2024-01-05", "2024-01-14")
 
 _QUERIES: dict[str, Query] = {}
@@ -488,12 +488,7 @@ def _run_windows(spark: SparkSession, sf_dir: str, table: str, runs: int = 1) ->
         running = streams.start_windows(
             stats, f"{table}-{out[-8:]}", out, checkpoint, {"availableNow": True})
         running.awaitTermination()
-    return files.read_latest(spark, out, streams_table(table))
-
-
-def streams_table(name: str):
-    from ..schema import TABLES
-    return TABLES[name]
+    return files.read_latest(spark, out, TABLES[table])
 
 
 @query(None)

@@ -264,7 +264,7 @@ DIM = f"""dim AS (
   FROM (SELECT *, {_pick("h_dev", du.DEVICE_CUTS)} AS device,
           {_pick("h_ctry", du.COUNTRY_CUTS)} AS country FROM buckets))"""
 
-SHIFT = (f"(SELECT TIMESTAMP '{ANCHOR}' - max({{time}}) FROM {{table}})")
+SHIFT = (f"(SELECT TIMESTAMP '{ANCHOR:%Y-%m-%d %H:%M:%S}' - max({{time}}) FROM {{table}})")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,7 +10,9 @@ from pyspark.sql import SparkSession
 # Safe to change on a running session. The forced skew split matters because a join on
 # product_id already satisfies a later groupBy(..., product_id): without it Spark keeps a
 # hot product in one task to save the second exchange.
+# Log times are UTC, so times are parsed, windowed and dated in UTC.
 RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -30,7 +32,6 @@ def build_session(app: str = "basketflow", master: str | None = None,
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
         **RUNTIME_SETTINGS,
         **STREAMING_SETTINGS,
         **(extra or {}),
@@ -50,8 +51,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session carrying the state-store settings, so the caller's stay untouched."""
     sibling = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        sibling.conf.set(key, spark.conf.get(key))
+    sibling.conf.set("spark.sql.shuffle.partitions",
+                     spark.conf.get("spark.sql.shuffle.partitions"))
     for key, value in {**RUNTIME_SETTINGS, **STREAMING_SETTINGS}.items():
         sibling.conf.set(key, value)
     return sibling

@@ -1,3 +1,4 @@
+import bisect
 import collections
 import datetime as dt
 import math
@@ -12,7 +13,7 @@ from basketflow.operators import replay, retention, rfm
 from basketflow.operators.dim_user import contradictions, dim_user
 from basketflow.operators.funnel import funnel_daily, funnel_stages
 from basketflow.operators.latest import latest_by_key
-from basketflow.operators.quantiles import exact_quantiles
+from basketflow.operators.quantiles import approx_quantiles, exact_quantiles
 from basketflow.operators.windows import brand_windows, global_windows
 from basketflow.plans import serving
 from basketflow.sources.star import behavior, behavior_li
@@ -92,6 +93,14 @@ def test_exact_quantiles_against_sorting(spark):
         assert [Decimal(x) for x in got[name]] == [Decimal(x) for x in want]
 
 
+def test_approximate_quantiles_stay_within_their_rank_error(spark):
+    frame = spark.range(20_000).selectExpr("pmod(xxhash64(id), 1000003) AS a").repartition(6)
+    ordered = sorted(r.a for r in frame.collect())
+    got = approx_quantiles(frame, ["a"], 0.01).first().a
+    for p, value in zip((0.2, 0.4, 0.6, 0.8), got):
+        assert abs(bisect.bisect_right(ordered, int(value)) / 20_000 - p) <= 0.011
+
+
 def test_tied_cuts_give_everyone_the_top_score_unless_strict(spark):
     rows = [row(f"{DAY} 00:00:00", user=u) for u in range(9)]
     rows.append(row(f"{DAY} 00:00:00", "purchase", user=9, price="50.00"))
