@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, lm, quality, toxicity
+from . import ann, bpe, language, licenses, line_dedup, lm, mixing, near_dup, quality, toxicity
 from . import texts as tx
 from .shipping import ship
 
@@ -69,3 +69,32 @@ def op8_bpe(spark, sf_dir):
 @query
 def op10_lm_scoring(spark, sf_dir):
     return lm.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_near_dedup(spark, sf_dir):
+    return near_dup.link(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(docs).select(
+        "doc_id", "text", F.coalesce(F.size("deleted"), F.lit(0)).cast("long").alias("n_deleted"),
+        F.coalesce("deleted_words", F.lit(0)).cast("long").alias("deleted_words"), "partners")
+
+
+@query
+def op3_nearest(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_mixing(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+@query
+def op9_license_scan(spark, sf_dir):
+    return licenses.scanned(table(spark, sf_dir, "documents"))
