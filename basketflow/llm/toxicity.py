@@ -25,11 +25,16 @@ from pyspark.sql import functions as F
 from . import texts as tx
 
 MIN_STEM = 4          # code points of the shortest lexicon entry
-MAX_TERM = 24         # code points beyond which a beginning is not examined
+MAX_TERM = 16         # code points beyond which a beginning is not examined
 MIN_SHARE = 0.005     # of the toxic training documents an entry must occur in
 CHANCE = 1e-5         # an entry's support must be this unlikely at the toxic share alone
-MIN_PRECISION = 0.93
+MIN_PRECISION = 0.93  # of an entry that decides alone
+MIN_EVIDENCE = 0.5    # of an entry that counts as evidence; three different words then decide
+MIN_GAIN = 20.0       # nats by which such an entry's documents must beat the toxic share
+EVIDENCE = 0.45       # trust in one word of such an entry at most
 MIN_VARIETY = 0.5     # distinct surroundings a document; copies of one text all show the same
+MAX_KNOWN = 3         # innocent spellings near an entry beyond which it must be exact
+MAX_LABELS = 200_000  # labelled rows learned from, about
 MAX_TERMS = 2000      # capacity of the lexicon, strongest entries first
 QUOTE_REACH = 160     # code points searched for quotation marks on either side of a hit
 
@@ -87,6 +92,7 @@ class Model:
     stems: list[bool]
     weights: list[float]
     known: frozenset = frozenset()      # spellings near an entry that clean documents use
+    strict: frozenset = frozenset()     # entries with several such spellings
     fuzzy: float = 0.75                 # trust in a misspelled hit against an exact one
     quoted: float = 0.5                 # trust in a quoted hit
     prior: float = 0.0                  # toxic share of training rows without a hit
@@ -98,10 +104,11 @@ class Model:
         self.width = max([len(w) for w in self.words] or [1]) + 2
 
     def allowed(self, entry: int) -> int:
-        """Edits tolerated in an entry; short ones and short stems must be exact."""
+        """Edits tolerated in an entry. Stems, short entries and entries whose neighbourhood is
+        full of innocent words must be exact."""
         n = len(self.words[entry])
-        if self.stems[entry]:
-            return int(n >= 7)
+        if self.stems[entry] or entry in self.strict:
+            return 0
         return 0 if n < 5 else 1 if n < 10 else 2
 
     def match(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +196,7 @@ def _is_quoted(codes: np.ndarray, low: int, high: int, start: int, end: int) ->
 
 
 def _chunk_hits(model: Model, data: np.ndarray, offsets: np.ndarray):
-    """Per hit: row, entry, distance, quoted; and the code points with the hits' places."""
+    """Per hit: row, entry, distance, quoted; the code points, the hits' places and words."""
     codes, bounds = code_points(data, offsets)
     starts, ends, first, sums = code_words(codes, bounds)
     entry, distance = model.hits(codes, starts, ends, sums)
@@ -197,7 +204,8 @@ def _chunk_hits(model: Model, data: np.ndarray, offsets: np.ndarray):
     rows = tx.row_of(first)[at]
     quoted = np.array([_is_quoted(codes, bounds[r], bounds[r + 1], starts[i], ends[i])
                        for r, i in zip(rows, at)], bool)
-    return rows, entry[at], distance[at], quoted, codes, starts[at], ends[at]
+    return rows, entry[at], distance[at], quoted, codes, starts[at], ends[at], \
+        tx.span_hash(sums, starts[at], ends[at])
 
 
 def _beginnings(data: np.ndarray, offsets: np.ndarray):
@@ -244,17 +252,19 @@ def _toxic_beginnings(batches):
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 3, hidden_fold: int = 1) -> Model:
     """Fit the lexicon on labelled rows outside the hidden fold.
 
-    Exact copies of a training text count once. What reaches the driver is bounded by MIN_SHARE
-    (candidate entries) and MAX_TERMS, not by the corpus.
+    About MAX_LABELS labels are used (chosen by hash of the id), so the labels can be broadcast
+    and no text is shuffled. What reaches the driver is bounded by MIN_SHARE (candidate entries)
+    and MAX_TERMS, not by the corpus.
     """
-    training = (
+    labelled = (tx.need(labels, "doc_id", "toxic").filter(F.col("toxic").isin(0, 1))
+                .filter(tx.id_bucket(folds) != hidden_fold)
+                .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    n = labelled.count()
+    share = int(min(1.0, MAX_LABELS / max(n, 1)) * (1 << 30)) + 1
+    labelled = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(share))
+    training = tx.stored(
         tx.need(docs, "doc_id", "text").filter(F.col("text").isNotNull())
-        .filter(tx.id_bucket(folds) != hidden_fold)
-        .join(tx.need(labels, "doc_id", "toxic").filter(F.col("toxic").isin(0, 1))
-              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id")
-        .select(F.xxhash64("text").alias("copy"), "toxic", "text")
-        .groupBy("copy", "toxic").agg(F.first("text").alias("text")))
-    training = tx.stored(training, "toxic-training")
+        .join(F.broadcast(labelled), "doc_id").select("toxic", "text"), "toxic-training")
     sizes = {r.toxic: r["count"] for r in training.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic:
@@ -287,15 +297,26 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 3, hidden_fold: int =
     clean = {r.key: r.docs for r in training.filter("toxic = 0").select("text")
              .mapInArrow(clean_counts, "key long, docs long")
              .groupBy("key").agg(F.sum("docs").alias("docs")).collect()}
-    model = _select(found, clean)
+    model = _select(found, clean, share)
     return _calibrate(model, training)
 
 
-def _select(found, clean: dict) -> Model:
+def _gain(toxic: int, clean: int, share: float) -> float:
+    """Log likelihood of a word's documents under their own toxic share against the general one."""
+    n = toxic + clean
+    p = min(max(toxic / n, 1e-9), 1 - 1e-9)
+    return n * (p * math.log(p / share) + (1 - p) * math.log((1 - p) / (1 - share)))
+
+
+def _select(found, clean: dict, share: float) -> Model:
     """Closed beginnings of high precision, none of them below another."""
-    good = {r.term: (r.docs, r.whole, (r.docs + 0.5) / (r.docs + clean.get(r.key, 0) + 1))
-            for r in found}
-    good = {t: v for t, v in good.items() if v[2] >= MIN_PRECISION}
+    good = {}
+    for r in found:
+        other = clean.get(r.key, 0)
+        precision = (r.docs + 0.5) / (r.docs + other + 1)
+        if precision >= MIN_PRECISION or (precision >= MIN_EVIDENCE
+                                          and _gain(r.docs, other, share) >= MIN_GAIN):
+            good[r.term] = r.docs, r.whole, precision
     longest: dict[str, int] = {}
     for term, (docs, _, _) in good.items():
         longest[term[:-1]] = max(longest.get(term[:-1], 0), docs)
@@ -308,7 +329,8 @@ def _select(found, clean: dict) -> Model:
     chosen.sort(key=lambda t: (-closed[t][0] * closed[t][2], t))
     chosen = chosen[:MAX_TERMS]
     return Model(chosen, [closed[t][1] < 0.9 * closed[t][0] for t in chosen],
-                 [closed[t][2] for t in chosen])
+                 [closed[t][2] if closed[t][2] >= MIN_PRECISION else min(closed[t][2], EVIDENCE)
+                  for t in chosen])
 
 
 def _calibrate(model: Model, training: DataFrame) -> Model:
@@ -320,29 +342,39 @@ def _calibrate(model: Model, training: DataFrame) -> Model:
         for batch in batches:
             toxic = batch.column(batch.schema.get_field_index("toxic")).to_numpy(False)
             for low, _, data, offsets in tx.text_chunks(batch):
-                rows, entry, far, quoted, codes, starts, ends = _chunk_hits(model, data, offsets)
+                rows, entry, far, quoted, codes, starts, ends, _ = _chunk_hits(
+                    model, data, offsets)
                 seen: dict[tuple, None] = {}
                 exact = set(rows[far == 0].tolist())
                 for r, e, d, q, a, b in zip(rows, entry, far, quoted, starts, ends):
                     word = _string(codes[a:b]) if d else ""
-                    seen[(int(r), word, bool(q), int(toxic[low + r]),
+                    seen[(int(r), word, int(e) if d else -1, bool(q), int(toxic[low + r]),
                           int(r) in exact)] = None
                 for r in range(len(offsets) - 1):
                     if r not in exact:
-                        seen[(r, "", False, int(toxic[low + r]), False)] = None
+                        seen[(r, "", -1, False, int(toxic[low + r]), False)] = None
                 if seen:
                     yield pa.record_batch({
-                        "word": [k[1] for k in seen], "quoted": [k[2] for k in seen],
-                        "toxic": pa.array([k[3] for k in seen], pa.int32()),
-                        "exact": [k[4] for k in seen]})
+                        "word": [k[1] for k in seen],
+                        "entry": pa.array([k[2] for k in seen], pa.int32()),
+                        "quoted": [k[3] for k in seen],
+                        "toxic": pa.array([k[4] for k in seen], pa.int32()),
+                        "exact": [k[5] for k in seen]})
 
     rows = (training.select("toxic", "text")
-            .mapInArrow(spellings, "word string, quoted boolean, toxic int, exact boolean")
-            .groupBy("word", "quoted", "toxic", "exact").count().collect())
+            .mapInArrow(spellings, "word string, entry int, quoted boolean, toxic int, "
+                                   "exact boolean")
+            .groupBy("word", "entry", "quoted", "toxic", "exact").count().collect())
     total = lambda test: sum(r["count"] for r in rows if test(r))
     model.known = frozenset(r.word for r in rows if r.word and not r.toxic)
+    near: dict[int, set] = {}
+    for r in rows:
+        if r.word and not r.toxic:
+            near.setdefault(r.entry, set()).add(r.word)
+    model.strict = frozenset(e for e, found in near.items() if len(found) > MAX_KNOWN)
     fuzzy = [total(lambda r, t=t: r.word and not r.exact and r.toxic == t
-                   and r.word not in model.known) for t in (0, 1)]
+                   and r.word not in model.known and r.entry not in model.strict)
+             for t in (0, 1)]
     quoted = [total(lambda r, t=t: not r.word and r.exact and r.quoted and r.toxic == t)
               for t in (0, 1)]
     bare = [total(lambda r, t=t: not r.word and not r.exact and r.toxic == t) for t in (0, 1)]
@@ -353,9 +385,15 @@ def _calibrate(model: Model, training: DataFrame) -> Model:
 
 
 def score_rows(model: Model, data: np.ndarray, offsets: np.ndarray):
-    """Score and number of hits of each row: no hit may be the cause, so misses multiply."""
+    """Score and hits of each row: the chance that at least one of its different words counts."""
     n = len(offsets) - 1
-    rows, entry, far, quoted, *_ = _chunk_hits(model, data, offsets)
+    rows, entry, far, quoted, *_, word = _chunk_hits(model, data, offsets)
+    # Repeating a word adds nothing; of its hits the least quoted one counts.
+    order = np.lexsort((quoted, word, rows))
+    keep = np.ones(len(order), bool)
+    keep[1:] = (np.diff(rows[order]) != 0) | (np.diff(word[order]) != 0)
+    at = order[keep]
+    rows, entry, far, quoted = rows[at], entry[at], far[at], quoted[at]
     trust = np.array(model.weights or [0.0])[entry] if len(entry) else np.empty(0)
     trust = trust * np.where(far > 0, model.fuzzy ** np.maximum(far, 1), 1.0)
     trust = trust * np.where(quoted, model.quoted, 1.0)
