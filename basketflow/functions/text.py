@@ -71,11 +71,16 @@ def integer_or_null(text: Column) -> Column:
 
 
 def unsigned_or_zero(text: Column, bits: int) -> Column:
-    """Digits that fit an unsigned integer of ``bits``, else 0."""
+    """Digits that fit an unsigned integer of ``bits``, else 0.
+
+    64-bit ids in the upper half do not fit LONG: they are null, so that the row can be refused
+    instead of falling into a false key.
+    """
     digits = F.when(text.rlike(r"^[0-9]+$"), text)
-    value = digits.try_cast("bigint")
-    in_range = value <= (1 << min(bits, 63)) - 1
-    return F.coalesce(F.when(in_range, value), F.lit(0).cast("bigint"))
+    wide = digits.try_cast("decimal(20,0)")
+    fits = wide <= F.lit(Decimal((1 << bits) - 1))
+    zero = F.lit(0).cast("bigint")
+    return F.when(F.coalesce(fits, F.lit(False)), wide.try_cast("bigint")).otherwise(zero)
 
 
 def _price(text: Column) -> Column:
@@ -93,4 +98,8 @@ def price_or_null(text: Column) -> Column:
 
 
 def price_or_zero(text: Column) -> Column:
-    return F.coalesce(_price(text), F.lit(0).cast(PRICE_TYPE))
+    """0 where the text is no number; null where it is one too large for a price."""
+    number = text.try_cast("double")
+    too_large = F.coalesce(F.abs(number) >= F.lit(1e8), F.lit(False)) & ~F.isnan(number)
+    return F.when(too_large, F.lit(None).cast(PRICE_TYPE)) \
+        .otherwise(F.coalesce(_price(text), F.lit(0).cast(PRICE_TYPE)))

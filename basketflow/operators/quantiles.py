@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import GMV_TYPE
+from ..session import checkpoint_root
 
 QUINTILES = ("0.2", "0.4", "0.6", "0.8")
 
@@ -24,46 +25,54 @@ def approx_quantiles(rows: DataFrame, columns: list[str], relative_error: float
         F.percentile_approx(F.col(c).cast(GMV_TYPE), wanted, accuracy).alias(c) for c in columns])
 
 
+# Amounts as unsigned cents, examined this many bits at a time from the top. Fixed by GMV_TYPE.
+_OFFSET = 1 << 60
+_SHIFTS = (46, 30, 15, 0)
+
+
 def exact_quantiles(rows: DataFrame, columns: list[str],
                     probs: tuple[str, ...] = QUINTILES) -> DataFrame:
     """The same row with exact discrete quantiles: the smallest value whose share reaches p.
 
-    Values are counted first, so a value shared by a third of the rows is one row. Ranks are then
-    found in two bounded steps: cumulative counts over logarithmic buckets (about 75,000 per
-    column at most over the whole type), then over the values of the one bucket that holds each
-    rank. No task ever sees all values.
+    Values are counted first, so a value shared by a third of the rows is one row. The rank of
+    each quantile is then followed down the digits of the value, 16 bits at most at a time: a
+    step counts rows per next digit below the digits found so far, and a running total over
+    those (65,536 at most, however the values are spread) gives the digit that holds the rank.
+    The counts are checkpointed, because every step reads them.
     """
+    checkpoint_root(rows.sparkSession)
     pairs = F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).cast(GMV_TYPE).alias("value"))
         for c in columns])
+    unsigned = (F.col("value") * 100).cast("bigint") + F.lit(_OFFSET)
     counted = (rows.select(F.inline(pairs)).filter(F.col("value").isNotNull())
-               .groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
-               .withColumn("bucket", _log_bucket(F.col("value"))))
-
-    by_metric = Window.partitionBy("metric")
-    running = by_metric.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (counted.groupBy("metric", "bucket").agg(F.sum("n").alias("n"))
-               .withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0)))
-               .withColumn("total", F.sum("n").over(by_metric)))
+               .groupBy("metric", unsigned.alias("code")).agg(F.count(F.lit(1)).alias("n"))
+               .checkpoint())
     wanted = F.array(*[F.lit(Decimal(p)).cast("decimal(5,4)") for p in probs])
-    targets = (buckets.withColumn("p", F.explode(wanted))
-               .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total"))))
-               .filter((F.col("rank") > F.col("before"))
-                       & (F.col("rank") <= F.col("before") + F.col("n")))
-               .select("metric", "bucket", "p", "rank", "before"))
-
-    # One row per column and probability, hence safe to broadcast.
-    inside = counted.join(F.broadcast(targets), ["metric", "bucket"])
-    upto = Window.partitionBy("metric", "p").orderBy("value")
-    hits = (inside.withColumn("reached", F.col("before") + F.sum("n").over(upto))
-            .filter(F.col("reached") >= F.col("rank"))
-            .groupBy("metric", "p").agg(F.min("value").alias("value")))
+    rank = F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total")))
+    found = (counted.groupBy("metric").agg(F.sum("n").alias("total"))
+             .withColumn("p", F.explode(wanted))
+             .select("metric", "p", rank.alias("rank"), F.lit(0).cast("bigint").alias("before"),
+                     F.lit(0).cast("bigint").alias("head")))
+    above = 62
+    for shift in _SHIFTS:
+        digit = F.shiftright("code", shift)
+        running = Window.partitionBy("metric", "p").orderBy("head") \
+            .rowsBetween(Window.unboundedPreceding, 0)
+        # One row per column and probability, hence safe to broadcast.
+        below = (counted.withColumn("head", F.shiftright("code", above))
+                 .join(F.broadcast(found), ["metric", "head"])
+                 .groupBy("metric", "p", "rank", "before", digit.alias("head"))
+                 .agg(F.sum("n").alias("n"))
+                 .withColumn("upto", F.col("before") + F.sum("n").over(running)))
+        found = (below.filter((F.col("upto") >= F.col("rank"))
+                              & (F.col("upto") - F.col("n") < F.col("rank")))
+                 .select("metric", "p", "rank", (F.col("upto") - F.col("n")).alias("before"),
+                         "head"))
+        above = shift
+    value = ((F.col("head") - F.lit(_OFFSET)).cast("decimal(20,0)") * F.lit(Decimal("0.01"))) \
+        .cast(GMV_TYPE)
     cuts = {c: F.sort_array(F.collect_list(
-        F.when(F.col("metric") == c, F.struct("p", "value"))))["value"] for c in columns}
-    return hits.agg(*[cut.alias(c) for c, cut in cuts.items()])
-
-
-def _log_bucket(value: Column) -> Column:
-    """Monotone bucket of 0.1 % relative width."""
-    size = F.floor(F.log1p(F.abs(value).cast("double")) * 1000)
-    return F.when(value < 0, -size).otherwise(size)
+        F.when(F.col("metric") == c, F.struct("p", value.alias("value")))))["value"]
+        for c in columns}
+    return found.agg(*[cut.alias(c) for c, cut in cuts.items()])

@@ -56,8 +56,15 @@ def sort_replay(events: DataFrame, slices: int | None = None,
 
 
 def replay_slices(events: DataFrame, slices: int, time: str = "event_time") -> DataFrame:
-    """Sorted events with their slice number, ready to be written one folder per slice."""
-    return sort_replay(events, slices, time).withColumn("slice", F.spark_partition_id())
+    """Sorted events with their slice number, ready to be written one folder per slice.
+
+    The sort starts with the slice and comes last: a writer that wants rows by slice then finds
+    them so and does not sort again, which would lose the time order once it spills.
+    """
+    salted = events.withColumn("_tie", F.spark_partition_id())
+    ranged = salted.repartitionByRange(slices, F.col(time), F.col("_tie"))
+    return (ranged.withColumn("slice", F.spark_partition_id())
+            .sortWithinPartitions("slice", time, "_tie").drop("_tie"))
 
 
 def to_lines(events: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ HIGH_VALUE = SEGMENT_NAMES[0]
 
 CLUSTERS = 4
 SEED = 42
+# Partitions of the pinned users. k-means draws its starting centres per partition, so this number
+# is part of the result: the same on every cluster, whatever its shuffle setting.
+LAYOUT_PARTITIONS = 64
 
 
 def ref_date(events: DataFrame) -> DataFrame:
@@ -31,11 +34,18 @@ def ref_date(events: DataFrame) -> DataFrame:
 
 def rfm_base(events: DataFrame) -> DataFrame:
     """One row per user. The reference date is a scalar subquery over one column, not a collect."""
-    today = ref_date(events).scalar()
-    users = events.groupBy("user_id").agg(
+    return recency(last_days(events), ref_date(events).scalar())
+
+
+def last_days(events: DataFrame) -> DataFrame:
+    """One row per user with the last active day."""
+    return events.groupBy("user_id").agg(
         F.max("event_date").alias("last_date"),
         F.count(F.lit(1)).alias("frequency"),
         cond_sum(PURCHASE).alias("monetary"))
+
+
+def recency(users: DataFrame, today: Column) -> DataFrame:
     return users.select(
         "user_id", F.datediff(today, "last_date").alias("recency_days"),
         "frequency", "monetary")
@@ -101,7 +111,7 @@ def rfm_kmeans(featured: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> Pipe
     return Pipeline(stages=[*feature_stages(), kmeans]).fit(featured)
 
 
-def pin_layout(users: DataFrame, partitions: int) -> DataFrame:
+def pin_layout(users: DataFrame, partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
     """Fix which rows sit in which partition and in which order, then cut the lineage.
 
     k-means samples its starting centres per partition, so a seed alone does not repeat. The
@@ -139,12 +149,15 @@ def attach_segments(clustered: DataFrame, stats: DataFrame | None = None) -> Dat
 
 def user_profile(events: DataFrame, computed_at: Column | None = None,
                  relative_error: float = 0.01, k: int = CLUSTERS, seed: int = SEED,
-                 partitions: int | None = None, distinct_cuts: bool = False) -> DataFrame:
-    """The whole customer segmentation. ``partitions`` pins the layout k-means starts from;
-    it defaults to the session's shuffle partitions."""
-    spark = events.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    users = pin_layout(rfm_base(events), parts)
+                 partitions: int = LAYOUT_PARTITIONS, distinct_cuts: bool = False) -> DataFrame:
+    """The whole customer segmentation. ``partitions`` pins the layout k-means starts from.
+
+    Events are read once: users are pinned with their last day, and the reference date is the
+    newest of those.
+    """
+    pinned = pin_layout(last_days(events), partitions)
+    today = pinned.agg(F.max("last_date").alias("ref_date")).scalar()
+    users = recency(pinned, today)
     featured = rfm_features(
         rfm_scores(users, rfm_quantiles(users, relative_error), distinct_cuts))
     clustered = rfm_kmeans(rfm_features(users), k, seed).transform(featured)

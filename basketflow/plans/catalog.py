@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,10 @@ from ..functions.metrics import (
 )
 from ..operators import cleaning, dim_user, funnel, grain, latest, replay, retention, rfm, rollups
 from ..operators import windows as win
-from ..schema import CART, FUNNEL_DAILY, PURCHASE, REALTIME_BRAND, TABLES, VIEW
+from ..schema import (
+    CART, DETAIL, FUNNEL_DAILY, PURCHASE, REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL,
+    TABLES, VIEW,
+)
 from ..session import scratch_path, streaming_session, tune
 from ..sources import files, star
 from ..streaming import queries as streams
@@ -60,11 +63,21 @@ def queries() -> dict[str, Query]:
 
 # --- sources and sinks -------------------------------------------------------------------
 
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV history with dirt in every way a loader meets it, written as text and read back."""
+    path = scratch_path(spark, "history")
+    star.dirty_lines(spark, sf_dir).write.text(path)
+    return files.read_raw_csv(spark, path, header=False)
+
+
 @query(None)
 def bulk_load(spark, sf_dir):
-    path = scratch_path(spark, "history")
-    star.raw_columns(spark, sf_dir).write.option("header", True).csv(path)
-    return files.bulk_load(files.read_raw_csv(spark, path))
+    return files.bulk_load(_history(spark, sf_dir))
+
+
+@query(None)
+def bulk_load_rejects(spark, sf_dir):
+    return files.bulk_load_rejects(_history(spark, sf_dir))
 
 
 @query()
@@ -322,9 +335,20 @@ def brand_stats_daily_li(events):
     return rollups.brand_stats_daily(events)
 
 
+# Sketch estimates may be off by this share: four standard errors and a rounding unit.
+SKETCH_BOUND = 0.04
+
+
+def _within(estimate: str, exact: str) -> Column:
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * SKETCH_BOUND + 1
+
+
 @query(star.behavior_li)
 def approx_uv_by_brand(events):
-    return events.groupBy("brand").agg(approx_uv().alias("approx_uv"))
+    """The exact count, and whether the sketch came close to it."""
+    both = events.groupBy("brand").agg(
+        approx_uv().alias("approx_uv"), F.count_distinct("user_id").alias("uv"))
+    return both.select("brand", "uv", _within("approx_uv", "uv").alias("approx_within_bound"))
 
 
 @query()
@@ -361,21 +385,33 @@ def rfm_features(events):
         *[F.round(z[i], 5).alias(n) for i, n in enumerate(("z_recency", "z_log_f", "z_log_m"))])
 
 
-def _clustered(events: DataFrame) -> DataFrame:
-    spark = events.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    users = rfm.rfm_features(rfm.pin_layout(rfm.rfm_base(events), partitions))
-    return rfm.rfm_kmeans(users).transform(users)
+def _clustered(events: DataFrame) -> tuple[DataFrame, list[list[float]]]:
+    users = rfm.rfm_features(rfm.pin_layout(rfm.rfm_base(events)))
+    model = rfm.rfm_kmeans(users)
+    return model.transform(users), [c.tolist() for c in model.stages[-1].clusterCenters()]
 
 
 @query(star.behavior_li)
 def rfm_kmeans(events):
-    return _clustered(events).select("user_id", "cluster_id")
+    """What must hold of any k-means result: each user's own centre is the nearest one."""
+    clustered, centres = _clustered(events)
+    z = vector_to_array("features")
+    far = [sum(((z[i] - F.lit(c)) * (z[i] - F.lit(c)) for i, c in enumerate(centre)), F.lit(0.0))
+           for centre in centres]
+    own = F.element_at(F.array(*far), F.col("cluster_id") + 1)
+    return clustered.select("user_id", (own <= F.least(*far) + 1e-9).alias("own_centre_nearest"))
 
 
 @query(star.behavior_li)
 def cluster_stats(events):
-    return rfm.cluster_stats(_clustered(events))
+    """Cluster sizes and averages weighted by them add up to the averages over all users."""
+    clustered, centres = _clustered(events)
+    stats = rfm.cluster_stats(clustered)
+    total = F.sum("cnt")
+    return stats.agg(
+        (F.count(F.lit(1)) == len(centres)).alias("every_cluster_used"), total.alias("users"),
+        *[F.round(F.sum(F.col(c) * F.col("cnt")) / total, 4).alias(c)
+          for c in ("avg_r", "avg_f", "avg_m")])
 
 
 @query(star.behavior_li)
@@ -385,7 +421,13 @@ def segment_names(events):
 
 @query(star.behavior_li)
 def user_profile(events):
-    return rfm.user_profile(events, computed_at=F.lit(ANCHOR).cast("timestamp"))
+    """The whole job with exact cut points; the cluster's number and name depend on the seed, so
+    only whether they agree with each other is shown."""
+    profiles = rfm.user_profile(events, computed_at=F.lit(ANCHOR).cast("timestamp"),
+                                relative_error=0)
+    names = profiles.select("cluster_id", "segment").distinct().groupBy("cluster_id") \
+        .agg((F.count(F.lit(1)) == 1).alias("one_name"))
+    return profiles.join(names, "cluster_id").drop("cluster_id", "segment")
 
 
 def _segmented(events: DataFrame) -> DataFrame:
@@ -465,8 +507,9 @@ def win_brand(events):
 
 @query()
 def pv_uv_agg(events):
-    """One window wider than the month of data: the measures over everything."""
-    return win.brand_windows(events, "365 days").select("brand", "pv", "uv", "purchase_cnt", "gmv")
+    """Windows of a year: the measures over everything, a row for each side of a boundary."""
+    return win.brand_windows(events, "365 days").select(
+        "window_start", "brand", "pv", "uv", "purchase_cnt", "gmv")
 
 
 @query()
@@ -527,6 +570,72 @@ def stream_brand(spark, sf_dir):
     return _run_windows(spark, sf_dir, "ads_realtime_brand_stats")
 
 
+@query(None)
+def stream_late(spark, sf_dir):
+    """Events of another year arrive after the rest: far behind the watermark, they are dropped.
+    Those of a few seconds before the newest event still count."""
+    frame = star.behavior(spark, sf_dir)
+    newest = frame.agg(F.max("event_time")).scalar()
+    late = frame.withColumn("event_time", F.col("event_time") - F.expr("INTERVAL 400 DAYS"))
+    fresh = (frame.filter("event_type = 'view'").limit(50).withColumn(
+        "event_time", newest - F.expr("INTERVAL 10 SECONDS")).withColumn("user_id", F.lit(-1)))
+    closing = frame.limit(1).withColumn("event_time", newest + F.expr("INTERVAL 1 DAY")) \
+        .withColumn("event_type", F.lit("cart"))
+    sibling = streaming_session(spark)
+    inbox, out = scratch_path(spark, "late-in"), scratch_path(spark, "late-out")
+    # One file at a time in order of age; the watermark moves between batches.
+    # Lateness is judged by the watermark of the batch before, hence the two batches between.
+    quiet = frame.limit(1).withColumn("event_time", newest).withColumn("event_type", F.lit("cart"))
+    for part in (frame, quiet, quiet, late.unionByName(fresh), closing):
+        DETAIL.conform(part).coalesce(1).write.mode("append").parquet(inbox)
+    source = (sibling.readStream.schema(DETAIL.schema).option("maxFilesPerTrigger", 1)
+              .parquet(inbox))
+    stats = streams.windowed_outputs(source, "60 seconds")[REALTIME_GLOBAL.name]
+    streams.start_windows(stats, f"late-{out[-8:]}", out, scratch_path(spark, "late-ck"),
+                          {"availableNow": True}).awaitTermination()
+    return files.read_latest(spark, out, REALTIME_GLOBAL)
+
+
+@query(None)
+def stream_fan_out(spark, sf_dir):
+    """All four outputs of one stream: rows per table."""
+    sibling = streaming_session(spark)
+    out = scratch_path(spark, "fan-out")
+    streams.await_all(streams.start_all(
+        star.behavior_stream(sibling, sf_dir), out, scratch_path(spark, "fan-out-ck"),
+        {"availableNow": True}))
+    tables = [files.read_latest(spark, f"{out}/{t.name}", t).select(F.lit(t.name).alias("name"))
+              for t in (REALTIME_GLOBAL, REALTIME_CATEGORY, REALTIME_BRAND)]
+    tables.append(files.read_detail(spark, f"{out}/{DETAIL.name}").select(
+        F.lit(DETAIL.name).alias("name")))
+    rows = tables[0]
+    for t in tables[1:]:
+        rows = rows.union(t)
+    return rows.groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(None)
+def stream_compacted(spark, sf_dir):
+    """The brand table written by two checkpoints one after the other, then compacted."""
+    sibling = streaming_session(spark)
+    out = scratch_path(spark, "compacted")
+    for turn in range(2):
+        stats = streams.windowed_outputs(star.behavior_stream(sibling, sf_dir))[REALTIME_BRAND.name]
+        streams.start_windows(stats, f"compacted-{turn}-{out[-8:]}", out,
+                              scratch_path(spark, "compacted-ck"),
+                              {"availableNow": True}).awaitTermination()
+    files.compact(spark, out, REALTIME_BRAND, "9999-12-31")
+    return REALTIME_BRAND.conform(spark.read.schema(REALTIME_BRAND.schema).parquet(out))
+
+
+@query()
+def windows_backfill(events):
+    """The brand windows built from detail by day, without a stream."""
+    path = scratch_path(events.sparkSession, "backfill")
+    files.append_version(win.brand_windows(events), path, 0)
+    return files.read_latest(events.sparkSession, path, REALTIME_BRAND)
+
+
 @query(None)
 def exactly_once_resume(spark, sf_dir):
     """The brand stream started twice on one checkpoint: the second start adds nothing."""
@@ -589,7 +698,12 @@ def product_ranking_li(events):
 
 @query(star.behavior_li)
 def product_ranking_approx(events):
-    return serving.product_ranking(events, exact_uv=False)
+    """The ranking with sketched users beside the exact one."""
+    exact = serving.product_ranking(events)
+    sketched = serving.product_ranking(events, exact_uv=False).select(
+        "product_id", F.col("uv").alias("approx_uv"))
+    return exact.join(sketched, "product_id").select(
+        *exact.columns, _within("approx_uv", "uv").alias("approx_within_bound"))
 
 
 @query(star.behavior_li)

@@ -18,11 +18,16 @@ from ..operators.rfm import user_profile
 from ..operators.rollups import (
     active_user_daily, brand_stats_daily, category_stats_daily, item_stats_daily,
 )
+from ..operators.windows import brand_windows, category_windows, global_windows
 from ..functions.text import parse_source_time
-from ..session import build_session
+from ..schema import REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL
+from ..session import build_session, clear_scratch
 from ..sources.external import kafka_lines, write_kafka
-from ..sources.files import bulk_load, read_detail, read_raw_csv, write_detail, write_replace
-from ..streaming.queries import start_all
+from ..sources.files import (
+    append_version, bulk_load, compact, next_generation, read_detail, read_raw_csv, write_detail,
+    write_replace,
+)
+from ..streaming.queries import WATERMARK, await_all, start_all
 
 # Tables a rerun over a date range replaces day by day.
 DAILY = {
@@ -53,19 +58,46 @@ def run_table(spark: SparkSession, args: argparse.Namespace) -> None:
         write_replace(WHOLE[args.job](detail), args.out)
 
 
+def run_windows(spark: SparkSession, args: argparse.Namespace) -> None:
+    """History into the three window tables without a stream: days from detail, in bounded memory.
+
+    The rows form a generation of their own, so they replace what a stream wrote for these
+    days; a stream started later outranks them from its first window on.
+    """
+    days = filter_date_range(read_detail(spark, args.detail), args.start, args.end)
+    wide = f"{args.global_seconds} seconds", f"{args.dimension_seconds} seconds"
+    for table, stats in ((REALTIME_GLOBAL, global_windows(days, wide[0])),
+                         (REALTIME_CATEGORY, category_windows(days, wide[1])),
+                         (REALTIME_BRAND, brand_windows(days, wide[1]))):
+        path = f"{args.out}/{table.name}"
+        append_version(stats, path, 0, next_generation(spark, path))
+
+
+def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One row per key for every day before ``--end`` in the window tables under ``--out``."""
+    for table in (REALTIME_GLOBAL, REALTIME_CATEGORY, REALTIME_BRAND):
+        compact(spark, f"{args.out}/{table.name}", table, args.end)
+
+
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Lines from a topic or from text files arriving in a folder, into four tables."""
+    """Lines from a topic or from text files arriving in a folder, into four tables.
+
+    ``--max-files`` and ``--max-offsets`` bound a batch, and with it the state that a start over
+    a long backlog builds. Bounded batches need input in time order within ``--watermark``; for
+    history use the windows job instead.
+    """
     if args.servers:
-        lines = kafka_lines(spark, args.servers, args.topic)
+        lines = kafka_lines(spark, args.servers, args.topic, args.max_offsets)
     else:
-        lines = spark.readStream.text(args.lines)
-    running = start_all(
+        reader = spark.readStream
+        if args.max_files:
+            reader = reader.option("maxFilesPerTrigger", args.max_files)
+        lines = reader.text(args.lines)
+    await_all(start_all(
         clean_events(lines), args.out, args.checkpoints,
-        {"availableNow": True} if args.once else None, first_version=args.first_version,
+        {"availableNow": True} if args.once else None, delay=args.watermark,
         global_width=f"{args.global_seconds} seconds",
-        dimension_width=f"{args.dimension_seconds} seconds")
-    for query in running.values():
-        query.awaitTermination()
+        dimension_width=f"{args.dimension_seconds} seconds"))
 
 
 def replay_lines(spark: SparkSession, path: str, anchor: datetime | None) -> DataFrame:
@@ -89,7 +121,8 @@ def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="run_job.py")
-    parser.add_argument("job", choices=["load", "stream", "replay", *DAILY, *WHOLE])
+    parser.add_argument("job", choices=[
+        "load", "stream", "replay", "windows", "compact", *DAILY, *WHOLE])
     parser.add_argument("--csv", help="raw history with a header line")
     parser.add_argument("--detail", help="detail table folder")
     parser.add_argument("--out", help="folder of the result")
@@ -98,18 +131,32 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--max-unreadable", type=int, help="error budget of the load")
     parser.add_argument("--lines", help="folder the stream reads text files from")
     parser.add_argument("--servers", help="message broker, instead of folders")
-    parser.add_argument("--topic", default="user_behavior_log")
+    parser.add_argument("--topic", help="topic at the broker")
     parser.add_argument("--checkpoints", help="checkpoint folder of the stream")
     parser.add_argument("--once", action="store_true", help="stop after the available data")
-    parser.add_argument("--first-version", type=int, default=0)
+    parser.add_argument("--max-files", type=int, help="input files of a batch at most")
+    parser.add_argument("--max-offsets", type=int, help="broker records of a batch at most")
+    parser.add_argument("--watermark", default=WATERMARK, help="how late an event may be")
     parser.add_argument("--global-seconds", type=int, default=1)
     parser.add_argument("--dimension-seconds", type=int, default=60)
     parser.add_argument("--shift-to-now", action="store_true")
     parser.add_argument("--slices", type=int, default=64)
     args = parser.parse_args(argv)
-
+    if args.job in WHOLE and (args.start or args.end):
+        parser.error(f"{args.job} always covers the whole history; leave --start and --end out")
+    if args.servers and not args.topic:
+        parser.error("--servers needs --topic")
+    if args.job == "compact" and not args.end:
+        parser.error("compact needs --end, the first day that is left alone")
+
+    own = spark is None
     spark = spark or build_session(f"basketflow-{args.job}")
     began = time.monotonic()
-    job = {"load": run_load, "stream": run_stream, "replay": run_replay}.get(args.job, run_table)
-    job(spark, args)
+    job = {"load": run_load, "stream": run_stream, "replay": run_replay, "windows": run_windows,
+           "compact": run_compact}.get(args.job, run_table)
+    try:
+        job(spark, args)
+    finally:
+        if own:
+            clear_scratch(spark)
     print(f"{args.job}: {time.monotonic() - began:.1f} s")

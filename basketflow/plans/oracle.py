@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from ..operators import dim_user as du
-from ..operators.rfm import HIGH_VALUE, SEGMENT_NAMES
-from ..sources.star import CATEGORY_BASE
-from .catalog import ANCHOR, RANGE
+# Written out here rather than imported, so that a wrong value in the code under test shows.
+CATEGORY_BASE = 2053013555631882655
+ANCHOR = "2024-06-01 12:00:00"
+RANGE = ("2024-01-05", "2024-01-14")
+SEGMENT_NAMES = ("高价值客户", "潜力客户", "一般保持", "流失风险")
+HIGH_VALUE = "高价值客户"
 
 # --- shared views, written as common table expressions -----------------------------------
 
@@ -46,7 +48,7 @@ RAW = f"""raw AS (
       END AS price,
     CASE e.event_type WHEN 'error' THEN 'n/a' ELSE CAST(e.user_id AS VARCHAR) END AS user_id,
     CAST(e.user_id AS VARCHAR) || '-' || CAST(CAST(e.ts AS DATE) AS VARCHAR) AS user_session,
-    date_trunc('second', e.ts) AS parsed_time
+    date_trunc('second', e.ts) AS parsed_time, e.event_id % 97 AS dirt
   FROM events e JOIN part p ON {EVENT_KEY} = p.p_partkey)"""
 
 LINE = ("concat_ws(',', event_time, event_type, product_id, category_id, category_code, brand, "
@@ -236,35 +238,37 @@ def _bucket(salt: str) -> str:
 
 
 BUCKETS = ("buckets AS (SELECT user_id, "
-           + ", ".join(f"{_bucket(salt)} AS {name}" for name, salt in du.SALTS.items())
+           + ", ".join(f"{_bucket(salt)} AS {name}" for name, salt in (
+               ("h_dev", "device"), ("h_os", "os"), ("h_br", "browser"), ("h_ctry", "country"),
+               ("h_prov", "prov"), ("h_age", "age"), ("h_gen", "gender")))
            + " FROM (SELECT DISTINCT user_id FROM behavior))")
 
-
-def _pick(bucket: str, cuts) -> str:
-    *head, (_, last) = cuts
-    return "CASE " + " ".join(f"WHEN {bucket} < {b} THEN '{v}'" for b, v in head) \
-        + f" ELSE '{last}' END"
-
-
-def _listed(country: str) -> str:
-    places = du.PROVINCES[country]
-    names = ", ".join(f"'{p}'" for p in places)
-    return f"WHEN country = '{country}' THEN list_extract([{names}], h_prov % {len(places)} + 1)"
-
-
-DIM = f"""dim AS (
+DIM = """dim AS (
   SELECT user_id, device,
-    CASE WHEN device = 'Web' THEN {_pick("h_os", du.WEB_OS_CUTS)} ELSE device END AS os,
-    CASE device WHEN 'iOS' THEN {_pick("h_br", du.IOS_BROWSER_CUTS)}
-      WHEN 'Android' THEN {_pick("h_br", du.ANDROID_BROWSER_CUTS)}
-      ELSE {_pick("h_br", du.WEB_BROWSER_CUTS)} END AS browser,
+    CASE WHEN device <> 'Web' THEN device WHEN h_os < 55 THEN 'Windows' ELSE 'macOS' END AS os,
+    CASE WHEN device = 'iOS' THEN CASE WHEN h_br < 70 THEN 'Safari' ELSE 'Chrome' END
+      WHEN device = 'Android' THEN CASE WHEN h_br < 82 THEN 'Chrome' ELSE 'Firefox' END
+      WHEN h_br < 60 THEN 'Chrome' WHEN h_br < 80 THEN 'Edge' WHEN h_br < 92 THEN 'Firefox'
+      ELSE 'Safari' END AS browser,
     country,
-    CASE {_listed("中国")} {_listed("美国")} ELSE '{du.ELSEWHERE}' END AS province,
-    {_pick("h_age", du.AGE_CUTS)} AS age_group, {_pick("h_gen", du.GENDER_CUTS)} AS gender
-  FROM (SELECT *, {_pick("h_dev", du.DEVICE_CUTS)} AS device,
-          {_pick("h_ctry", du.COUNTRY_CUTS)} AS country FROM buckets))"""
-
-SHIFT = (f"(SELECT TIMESTAMP '{ANCHOR:%Y-%m-%d %H:%M:%S}' - max({{time}}) FROM {{table}})")
+    CASE country
+      WHEN '中国' THEN list_extract(['广东', '浙江', '江苏', '山东', '河南', '四川', '北京', '上海',
+        '湖北', '福建'], h_prov % 10 + 1)
+      WHEN '美国' THEN list_extract(['California', 'Texas', 'New York', 'Florida', 'Illinois'],
+        h_prov % 5 + 1)
+      ELSE '海外其他' END AS province,
+    CASE WHEN h_age < 22 THEN '18-24' WHEN h_age < 60 THEN '25-34' WHEN h_age < 85 THEN '35-44'
+      ELSE '45+' END AS age_group,
+    CASE WHEN h_gen < 58 THEN '女' ELSE '男' END AS gender
+  FROM (SELECT *,
+          CASE WHEN h_dev < 35 THEN 'iOS' WHEN h_dev < 80 THEN 'Android' ELSE 'Web' END AS device,
+          CASE WHEN h_ctry < 55 THEN '中国' WHEN h_ctry < 67 THEN '美国' WHEN h_ctry < 77 THEN '印度'
+            WHEN h_ctry < 83 THEN '德国' WHEN h_ctry < 88 THEN '英国' WHEN h_ctry < 92 THEN '巴西'
+            WHEN h_ctry < 96 THEN '日本' ELSE '其他' END AS country
+        FROM buckets))"""
+CLASH = ("CASE WHEN device = 'Web' THEN os NOT IN ('Windows', 'macOS') ELSE os <> device END")
+
+SHIFT = (f"(SELECT TIMESTAMP '{ANCHOR}' - max({{time}}) FROM {{table}})")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -274,10 +278,15 @@ def oracle_sql() -> dict[str, str]:
         # sources and sinks
         "bulk_load": f"""WITH {RAW} SELECT parsed_time AS event_time, event_type,
             CAST(product_id AS BIGINT) AS product_id, CAST(category_id AS BIGINT) AS category_id,
-            category_code, CASE brand WHEN '' THEN 'unknown' ELSE brand END AS brand,
+            category_code, CASE WHEN dirt = 6 THEN 'the "best", they say'
+              WHEN brand = '' THEN 'unknown' ELSE brand END AS brand,
             CAST(coalesce(TRY_CAST(nullif(price, '') AS DECIMAL(10,2)), 0) AS DECIMAL(10,2)) AS price,
             coalesce(TRY_CAST(user_id AS BIGINT), 0) AS user_id, user_session AS session_id,
-            CAST(parsed_time AS DATE) AS event_date FROM raw""",
+            CAST(parsed_time AS DATE) AS event_date FROM raw WHERE dirt NOT IN (1, 2, 3, 4, 5)""",
+        "bulk_load_rejects": f"""WITH {RAW} SELECT CASE WHEN dirt <= 2 THEN 'fields'
+              WHEN dirt = 3 THEN 'time' WHEN dirt = 4 THEN 'id' ELSE 'price' END AS reason,
+              CAST(count(*) AS BIGINT) AS rows
+            FROM raw WHERE dirt IN (1, 2, 3, 4, 5) GROUP BY ALL""",
         "read_pruned": f"{b} SELECT event_date, event_type, user_id, price FROM behavior "
                        f"WHERE {in_range}",
         "read_user_days": f"{b}, {USER_DAYS} SELECT * FROM user_days",
@@ -344,7 +353,16 @@ def oracle_sql() -> dict[str, str]:
                             "FROM behavior GROUP BY brand",
         "user_uv_by_category": f"{li} SELECT category_id, CAST(count(DISTINCT user_id) AS BIGINT)"
                                " AS uv FROM behavior GROUP BY category_id",
+        "approx_uv_by_brand": f"{li} SELECT brand, CAST(count(DISTINCT user_id) AS BIGINT) AS uv, "
+                              "true AS approx_within_bound FROM behavior GROUP BY brand",
         # segments
+        "rfm_kmeans": f"{li}, {RFM} SELECT user_id, true AS own_centre_nearest FROM rfm",
+        "cluster_stats": f"""{li}, {RFM} SELECT true AS every_cluster_used,
+            CAST(count(*) AS BIGINT) AS users, round(avg(recency_days), 4) AS avg_r,
+            round(avg(frequency), 4) AS avg_f, round(avg(CAST(monetary AS DOUBLE)), 4) AS avg_m
+            FROM rfm""",
+        "user_profile": f"""{li}, {RFM}, {SCORES} SELECT *,
+            TIMESTAMP '{ANCHOR}' AS computed_at, true AS one_name FROM scores""",
         "rfm_features": f"""{li}, {RFM}, f AS (SELECT user_id, recency_days AS r,
               ln(1 + CAST(frequency AS DOUBLE)) AS lf, ln(1 + CAST(monetary AS DOUBLE)) AS lm
               FROM rfm)
@@ -380,7 +398,7 @@ def oracle_sql() -> dict[str, str]:
         "win_category": f"WITH {BY_CATEGORY} SELECT * FROM windows",
         "win_brand": f"WITH {BY_BRAND} SELECT * FROM windows",
         "pv_uv_agg": f"""{b}, {_windows(365 * 86400, 'brand')}
-            SELECT brand, pv, uv, purchase_cnt, gmv FROM windows""",
+            SELECT window_start, brand, pv, uv, purchase_cnt, gmv FROM windows""",
         "drop_empty_window": f"""WITH {GLOBAL_MINUTE} SELECT DISTINCT
             date_trunc('minute', event_time) AS window_start FROM behavior
             WHERE date_trunc('minute', event_time) NOT IN (SELECT window_start FROM windows)""",
@@ -391,6 +409,18 @@ def oracle_sql() -> dict[str, str]:
         "stream_global": f"WITH {GLOBAL_SECOND} SELECT * FROM windows WHERE {CLOSED}",
         "stream_category": f"WITH {BY_CATEGORY} SELECT * FROM windows WHERE {CLOSED}",
         "stream_brand": f"WITH {BY_BRAND} SELECT * FROM windows WHERE {CLOSED}",
+        "stream_late": f"""WITH {BEHAVIOR.replace("behavior AS", "kept AS", 1)},
+            behavior AS (
+              SELECT event_time, event_type, user_id, price FROM kept UNION ALL
+              SELECT (SELECT max(event_time) FROM kept) - INTERVAL '10 seconds', 'view', -1, 0
+              FROM range(50)), {_windows(60)} SELECT * FROM windows""",
+        "stream_fan_out": f"""WITH {GLOBAL_SECOND}, {_windows(60, 'category_id', name='categories')},
+            {_windows(60, 'brand', name='brands')}
+            SELECT 'ads_realtime_pv_uv' AS name, CAST(count(*) AS BIGINT) AS rows FROM windows
+              WHERE {CLOSED}
+            UNION ALL SELECT 'ads_realtime_category_stats', count(*) FROM categories WHERE {CLOSED}
+            UNION ALL SELECT 'ads_realtime_brand_stats', count(*) FROM brands WHERE {CLOSED}
+            UNION ALL SELECT 'dwd_user_behavior', count(*) FROM behavior""",
         # synthetic users
         "salted_buckets": f"{li}, {BUCKETS} SELECT * FROM buckets",
         "dim_user": f"{li}, {BUCKETS}, {DIM} SELECT * FROM dim",
@@ -398,9 +428,8 @@ def oracle_sql() -> dict[str, str]:
               CAST(count(*) AS BIGINT) AS users,
               CAST(count(*) FILTER (clash) AS BIGINT) AS contradictory_users
             FROM (SELECT 'device' AS attribute, device AS value,
-                    device = 'Android' AND os <> 'Android' AS clash FROM dim
-                  UNION ALL SELECT 'country', country,
-                    device = 'Android' AND os <> 'Android' FROM dim) GROUP BY ALL""",
+                    {CLASH} AS clash FROM dim
+                  UNION ALL SELECT 'country', country, {CLASH} FROM dim) GROUP BY ALL""",
         # serving
         "overview": f"WITH {GLOBAL_SECOND} {_newest(30)}",
         "category_stats": f"WITH {BY_CATEGORY} {_newest(20, 'category_id')}",
@@ -410,6 +439,8 @@ def oracle_sql() -> dict[str, str]:
         "category_ranking": f"WITH {BY_CATEGORY} {_ranking('category_id')}",
         "product_ranking": f"{b}, {PRODUCT_METRICS} {TOP_PRODUCTS}",
         "product_ranking_li": f"{li}, {PRODUCT_METRICS} {TOP_PRODUCTS}",
+        "product_ranking_approx": f"""{li}, {PRODUCT_METRICS}, top AS ({TOP_PRODUCTS})
+            SELECT *, true AS approx_within_bound FROM top""",
         "product_metrics": f"{li}, {PRODUCT_METRICS} SELECT * FROM products",
         "funnel_report": f"""{b}, {FUNNEL} SELECT CAST(event_date AS VARCHAR) AS event_date,
             view_cnt, cart_cnt, purchase_cnt, view_uv, purchase_uv, gmv,
@@ -444,6 +475,8 @@ def oracle_sql() -> dict[str, str]:
     sql["cohort_assign_join"] = sql["cohort_assign"]
     sql["global_sort"] = sql["retention_matrix"]
     sql["exactly_once_resume"] = sql["stream_brand"]
+    sql["stream_compacted"] = sql["stream_brand"]
+    sql["windows_backfill"] = sql["win_brand"]
     sql["user_segments"] = sql["segment_summary"]
     sql["user_segments_summary"] = sql["segment_totals"]
     return sql

@@ -18,9 +18,6 @@ from ..schema import PURCHASE, UNKNOWN, VIEW
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TREND_WINDOWS = 60
 
-# A limit up to this is worth fetching users for the winners only, and bounds what is broadcast.
-FEW_PRODUCTS = 10_000
-
 
 def _newest(stats: DataFrame, limit: int, *keys: str) -> DataFrame:
     order = [F.col("window_start").desc()]
@@ -67,6 +64,8 @@ def category_ranking(stats: DataFrame, limit: int = 10) -> DataFrame:
 def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True) -> DataFrame:
     """Best sellers from detail; ``uv`` counts users of any behaviour.
 
+    A limited side has a known number of rows, so Spark's own threshold decides on a broadcast.
+
     Only the winners' users are counted: sales are totalled per product first, then the few
     winners, carrying their totals, select the rows whose users matter. Pairs of product and
     user for the rest of the catalogue never reach a shuffle, and detail is read twice in all.
@@ -76,8 +75,6 @@ def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True) -
         cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
         cond_sum(PURCHASE).alias("gmv"))
     top = order_limit(totals, order, limit)
-    if limit <= FEW_PRODUCTS:
-        top = F.broadcast(top)
     winners = events.select("product_id", "brand", "user_id").join(top, "product_id")
     measures = ["product_id", "pv", "purchase_cnt", "gmv"]
     if exact_uv:
@@ -115,6 +112,9 @@ def funnel_report(funnel: DataFrame, limit: int = 30) -> DataFrame:
 
 
 def retention(matrix: DataFrame, max_day: int = MAX_OFFSET) -> DataFrame:
+    """The curve over the cells that exist, as dashboards show it. Days on which nobody of a
+    cohort returned are absent from the matrix and so from the average, which lies too high for
+    sparse cohorts; ``retention_curve`` over a densified matrix does not."""
     return retention_curve(matrix, max_day).orderBy("day_offset")
 
 

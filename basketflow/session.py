@@ -25,6 +25,9 @@ STREAMING_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Reliable checkpoints go when the frame they belong to is no longer referenced.
+CONTEXT_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(app: str = "basketflow", master: str | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -34,6 +37,7 @@ def build_session(app: str = "basketflow", master: str | None = None,
     settings = {
         **RUNTIME_SETTINGS,
         **STREAMING_SETTINGS,
+        **CONTEXT_SETTINGS,
         **(extra or {}),
     }
     for key, value in settings.items():
@@ -59,15 +63,47 @@ def streaming_session(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a fresh local one only where none is set."""
+    """The cluster's shared checkpoint folder.
+
+    Where none is set, a local run gets a fresh folder and anything else is refused: executors
+    on other machines would write to disks of their own.
+    """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") \
         or spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not context.getCheckpointDir():
+        if not configured and not is_local(context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="basketflow-"))
     return configured or context.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """One machine, one JVM: driver and executors see the same disk."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{checkpoint_root(spark).rstrip('/')}/basketflow/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/basketflow/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch table of this application."""
+    delete_path(spark, _scratch_root(spark))
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    system, target = file_system(spark, path)
+    system.delete(target, True)

@@ -2,25 +2,48 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators.cleaning import filter_date_range
 from ..operators.latest import latest_by_key
-from ..schema import DETAIL, RAW, VERSION_COL, Table
+from ..schema import DETAIL, RAW, Table
+from ..session import delete_path, file_system
+
+CORRUPT = "_corrupt"
 
+# A stored row's version: the generation of the checkpoint that wrote it, the batch, and how often
+# it has been compacted. Compared in this order.
+DAY, GENERATION, BATCH, PASS = "_day", "_generation", "_batch", "_pass"
+VERSION = [GENERATION, BATCH, PASS]
+LAYOUT = [DAY, *VERSION]
+LAYOUT_DDL = f"{DAY} date, {GENERATION} int, {BATCH} bigint, {PASS} int"
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Nine text columns with a header, declared rather than inferred."""
-    return spark.read.schema(RAW.schema).option("header", True) \
-        .option("emptyValue", "").csv(path)
+
+def read_raw_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """Nine text columns, declared rather than inferred.
+
+    Lines with fewer or more fields are kept whole in ``_corrupt``. Column pruning is off because
+    a pruned parser no longer notices them.
+    """
+    return (spark.read.schema(f"{RAW.ddl}, {CORRUPT} string").option("header", header)
+            .option("emptyValue", "").option("escape", '"').option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
 def type_raw(raw: DataFrame) -> DataFrame:
-    """Typed rows plus ``readable``: bad numbers become 0, empty labels unknown, and only rows
-    without a readable time are marked. Event types are not checked here."""
-    return raw.select(
+    """Typed rows plus ``reject``: why a row cannot be loaded, null if it can.
+
+    Bad numbers become 0 and empty labels unknown. Rows with the wrong number of fields, without
+    a readable time, with an id beyond LONG or a price beyond its type are refused: any
+    value put in their place would be counted as a real one.
+    """
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    typed = raw.select(
+        broken.alias("broken"),
         tx.best_effort_time(F.col("event_time")).alias("event_time"),
         F.coalesce("event_type", F.lit("")).alias("event_type"),
         tx.unsigned_or_zero(F.col("product_id"), 32).alias("product_id"),
@@ -29,7 +52,12 @@ def type_raw(raw: DataFrame) -> DataFrame:
         tx.price_or_zero(F.col("price")).alias("price"),
         tx.unsigned_or_zero(F.col("user_id"), 32).alias("user_id"),
         F.coalesce("user_session", F.lit("")).alias("session_id"),
-    ).withColumn("readable", F.col("event_time").isNotNull())
+    )
+    return typed.withColumn(
+        "reject", F.when(F.col("broken"), "fields")
+        .when(F.col("event_time").isNull(), "time")
+        .when(F.col("category_id").isNull(), "id")
+        .when(F.col("price").isNull(), "price")).drop("broken")
 
 
 def _or_unknown(name: str) -> Column:
@@ -37,18 +65,24 @@ def _or_unknown(name: str) -> Column:
         .otherwise(F.col(name)).alias(name)
 
 
+def bulk_load_rejects(raw: DataFrame) -> DataFrame:
+    """(reason, rows) of what ``bulk_load`` leaves out."""
+    return (type_raw(raw).filter("reject IS NOT NULL").groupBy(F.col("reject").alias("reason"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
 def bulk_load(raw: DataFrame, max_unreadable: int | None = None) -> DataFrame:
-    """History into the detail table's columns.
+    """History into the detail table's columns, without the rows that are refused.
 
-    Rows without a readable time are left out. ``max_unreadable`` is the error budget: it counts
-    them first (one extra pass over one column) and refuses the load beyond it.
+    ``max_unreadable`` is the error budget over all reasons: it counts them first (one extra
+    pass) and refuses the load beyond it.
     """
     typed = type_raw(raw)
     if max_unreadable is not None:
-        bad = typed.filter(~F.col("readable")).count()
-        if bad > max_unreadable:
-            raise ValueError(f"{bad} rows without a readable time, {max_unreadable} allowed")
-    rows = typed.filter("readable").withColumn("event_date", F.to_date("event_time"))
+        bad = {r.reason: r.rows for r in bulk_load_rejects(raw).collect()}
+        if sum(bad.values()) > max_unreadable:
+            raise ValueError(f"{sum(bad.values())} rows refused, {max_unreadable} allowed: {bad}")
+    rows = typed.filter("reject IS NULL").withColumn("event_date", F.to_date("event_time"))
     return DETAIL.conform(rows)
 
 
@@ -56,15 +90,20 @@ def write_detail(events: DataFrame, path: str, mode: str = "overwrite",
                  files: int | None = None) -> None:
     """Day folders, files sorted by category and product.
 
-    Range boundaries are taken over the whole sort key and the input partition number, so a day
-    (or one product) holding a third of the rows becomes many files instead of one task, and
-    each file covers a narrow range that min/max statistics can skip.
+    Rows are rebalanced by day: the input is read once, small days share a task and a hot day is
+    split by size. With ``files`` the rows are range-partitioned over the whole sort key instead
+    (plus the input partition number, so that one product may fill several files); every file
+    then covers a narrow range that min/max statistics can skip, at the price of reading the
+    input once more for the range boundaries.
     """
-    bounds = ["event_date", "category_id", "product_id", "_tie"]
-    salted = DETAIL.conform(events).withColumn("_tie", F.spark_partition_id())
-    ranged = salted.repartitionByRange(files, *bounds) if files \
-        else salted.repartitionByRange(*bounds)
-    (ranged.sortWithinPartitions(*bounds).drop("_tie")
+    order = ["event_date", "category_id", "product_id"]
+    rows = DETAIL.conform(events)
+    if files:
+        rows = rows.withColumn("_tie", F.spark_partition_id())
+        rows = rows.repartitionByRange(files, *order, "_tie").drop("_tie")
+    else:
+        rows = rows.hint("rebalance", "event_date")
+    (rows.sortWithinPartitions(*order)
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_date").parquet(path))
 
@@ -80,20 +119,97 @@ def read_pruned(events: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def write_replace(rows: DataFrame, path: str, partition: str | None = None) -> None:
-    """Write so that a rerun replaces: the touched partitions only, or the whole table."""
-    writer = rows.write.mode("overwrite")
+    """Write so that a rerun replaces: the touched partitions only, or the whole table.
+
+    Partitions are rebalanced first, so files follow their size and not tasks times partitions.
+    A whole table is written beside the old one and then takes its place: a failed job leaves
+    the old table.
+    """
     if partition:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
-    writer.parquet(path)
+        (rows.hint("rebalance", partition).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+        return
+    spark = rows.sparkSession
+    path = path.rstrip("/")
+    fresh, old = f"{path}__new-{uuid.uuid4().hex}", f"{path}__old-{uuid.uuid4().hex}"
+    rows.write.parquet(fresh)
+    system, target = file_system(spark, path)
+    if system.exists(target):
+        _rename(spark, path, old)
+    _rename(spark, fresh, path)
+    delete_path(spark, old)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    system, old = file_system(spark, source)
+    if not system.rename(old, file_system(spark, target)[1]):
+        raise OSError(f"cannot rename {source} to {target}")
 
 
-def append_version(rows: DataFrame, path: str, version: int) -> None:
-    """Write one version folder. Writing the same version again replaces it."""
-    rows.write.mode("overwrite").parquet(f"{path}/{VERSION_COL}={version}")
+# --- tables written by streams -------------------------------------------------------------
 
+def append_version(rows: DataFrame, path: str, batch: int, generation: int = 0,
+                   compacted: int = 0) -> None:
+    """Write one batch into its own folders under every day it touches.
 
-def read_latest(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """All version folders of a table, reduced to the last written row per key."""
-    fields = ", ".join([table.ddl, f"{VERSION_COL} bigint"])
-    versions = spark.read.schema(fields).parquet(path)
-    return table.conform(latest_by_key(versions, table.key))
+    The same batch written again replaces itself. An empty batch writes nothing.
+    """
+    (rows.withColumns({DAY: F.to_date("window_start"),
+                       GENERATION: F.lit(generation).cast("int"),
+                       BATCH: F.lit(batch).cast("bigint"), PASS: F.lit(compacted).cast("int")})
+     .hint("rebalance", DAY).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path))
+
+
+def _stored(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    return spark.read.schema(f"{table.ddl}, {LAYOUT_DDL}").parquet(path)
+
+
+def read_latest(spark: SparkSession, path: str, table: Table, start=None, end=None) -> DataFrame:
+    """The last written row per key, of the days from ``start`` to ``end`` (both optional)."""
+    rows = _stored(spark, path, table)
+    if start is not None:
+        rows = rows.filter(F.col(DAY) >= F.lit(start).cast("date"))
+    if end is not None:
+        rows = rows.filter(F.col(DAY) <= F.lit(end).cast("date"))
+    return table.conform(latest_by_key(rows, table.key, VERSION))
+
+
+def _folders(spark: SparkSession, path: str) -> list[tuple[str, tuple[int, int, int], str]]:
+    """(day, version, folder) of everything stored: folder names only, no data is read."""
+    system, target = file_system(spark, path)
+    if not system.exists(target):
+        return []
+    found = system.globStatus(file_system(
+        spark, "/".join([path, *[f"{c}=*" for c in LAYOUT]]))[1])
+    out = []
+    for status in found:
+        folder = status.getPath().toString()
+        day, *version = [part.partition("=")[2] for part in folder.split("/")[-len(LAYOUT):]]
+        out.append((day, tuple(map(int, version)), folder))
+    return out
+
+
+def next_generation(spark: SparkSession, path: str) -> int:
+    """One above what the table holds."""
+    return 1 + max((version[0] for _, version, _ in _folders(spark, path)), default=-1)
+
+
+def compact(spark: SparkSession, path: str, table: Table, before: str) -> int:
+    """Leave one row per key in every day before ``before``; returns the days rewritten.
+
+    The merged rows carry the newest version of their day plus one pass, so readers that see
+    both old and new rows still take the right ones. Old folders go only after the new one is
+    complete. Meant for days the stream no longer writes to.
+    """
+    days: dict[str, list] = {}
+    for day, version, folder in _folders(spark, path):
+        if day < before:
+            days.setdefault(day, []).append((version, folder))
+    busy = {day: held for day, held in days.items() if len(held) > 1}
+    for day, held in sorted(busy.items()):
+        generation, batch, done = max(version for version, _ in held)
+        append_version(read_latest(spark, path, table, day, day), path, batch, generation, done + 1)
+        for _, folder in held:
+            delete_path(spark, folder)
+    return len(busy)

@@ -74,17 +74,18 @@ def behavior_li(spark: SparkSession, sf_dir: str) -> DataFrame:
         "session_id", _session_id(F.col("user_id"), F.col("event_date"))))
 
 
-def raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_columns(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
     """Every event as nine text columns, dirt included: error events lose their numbers, known
     gaps in the brand are empty, sign-ups carry a type the cleaner refuses."""
+    kept = ["event_id"] if keep_id else []
     events = _table(spark, sf_dir, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id",
+        *kept, F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id",
         F.col("value").cast(PRICE_TYPE).alias("price"),
         F.get_json_object("props", "$.k").cast("bigint").alias("product_id"))
     broken = F.col("event_type") == "error"
     date = F.to_date("ts")
     return events.join(_product(spark, sf_dir), "product_id").select(
-        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("event_time"),
+        *kept, F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("event_time"),
         _event_type(F.col("event_type")).alias("event_type"),
         F.col("product_id").cast("string").alias("product_id"),
         F.col("category_id").cast("string").alias("category_id"),
@@ -95,6 +96,24 @@ def raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         _session_id(F.col("user_id"), date).alias("user_session"))
 
 
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines with more dirt by event id: lines cut short, lines with fields too many, times
+    that do not parse, ids and prices beyond their types, quoted brands."""
+    columns = raw_columns(spark, sf_dir, keep_id=True)
+    kind = F.col("event_id") % 97
+    changed = columns.withColumns({
+        "event_time": F.when(kind == 3, "no time").otherwise(F.col("event_time")),
+        "category_id": F.when(kind == 4, "18446744073709551615").otherwise(F.col("category_id")),
+        "price": F.when(kind == 5, "123456789.50").otherwise(F.col("price")),
+        "brand": F.when(kind == 6, F.lit('"the ""best"", they say"')).otherwise(F.col("brand")),
+    })
+    fields = [c for c in columns.columns if c != "event_id"]
+    line = F.concat_ws(",", *fields)
+    line = F.when(kind == 1, F.substring_index(line, ",", 3)) \
+        .when(kind == 2, F.concat(line, F.lit(",x,y"))).otherwise(line)
+    return changed.select(line.alias("value"))
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = raw_columns(spark, sf_dir)
     return columns.select(F.concat_ws(",", *columns.columns).alias("value"))

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from collections import Counter
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..operators.windows import (
     DIMENSION_WIDTH, GLOBAL_WIDTH, brand_windows, category_windows, global_windows,
 )
 from ..schema import DETAIL, REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL
-from .sinks import versioned_sink
+from .sinks import generation_of, versioned_sink
 
 WATERMARK = "30 seconds"
-CADENCE = "500 milliseconds"
+CADENCE = "5 seconds"
 
 
 def with_event_time(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
@@ -24,10 +26,11 @@ def with_event_time(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
 
 
 def windowed_outputs(events: DataFrame, global_width: str = GLOBAL_WIDTH,
-                     dimension_width: str = DIMENSION_WIDTH,
-                     exact_uv: bool = True) -> dict[str, DataFrame]:
-    """Global, category and brand metrics. Three aggregations because distinct users do not add."""
-    marked = with_event_time(events)
+                     dimension_width: str = DIMENSION_WIDTH, exact_uv: bool = True,
+                     delay: str = WATERMARK) -> dict[str, DataFrame]:
+    """Global, category and brand metrics. Three aggregations because distinct users do not add;
+    each reads and parses the source itself."""
+    marked = with_event_time(events, delay)
     return {
         REALTIME_GLOBAL.name: global_windows(marked, global_width, exact_uv=exact_uv),
         REALTIME_CATEGORY.name: category_windows(marked, dimension_width, exact_uv=exact_uv),
@@ -35,11 +38,12 @@ def windowed_outputs(events: DataFrame, global_width: str = GLOBAL_WIDTH,
     }
 
 
-def start_windows(stats: DataFrame, name: str, path: str, checkpoint: str, trigger: dict,
-                  first_version: int = 0) -> StreamingQuery:
+def start_windows(stats: DataFrame, name: str, path: str, checkpoint: str,
+                  trigger: dict) -> StreamingQuery:
+    generation = generation_of(stats.sparkSession, path, checkpoint)
     writer = (stats.writeStream.outputMode("append").queryName(name)
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(versioned_sink(path, first_version)))
+              .foreachBatch(versioned_sink(path, generation)))
     return _start(writer, trigger)
 
 
@@ -56,18 +60,55 @@ def _start(writer: DataStreamWriter, trigger: dict) -> StreamingQuery:
 
 
 def start_all(events: DataFrame, out: str, checkpoints: str, trigger: dict | None = None,
-              first_version: int = 0, **widths: str) -> dict[str, StreamingQuery]:
+              **options: str) -> dict[str, StreamingQuery]:
     """One stream into four independent queries, each with its own checkpoint and progress."""
     trigger = trigger or {"processingTime": CADENCE}
     running = {DETAIL.name: start_detail(
         events, f"{out}/{DETAIL.name}", f"{checkpoints}/{DETAIL.name}", trigger)}
-    for name, stats in windowed_outputs(events, **widths).items():
+    for name, stats in windowed_outputs(events, **options).items():
         running[name] = start_windows(
-            stats, name, f"{out}/{name}", f"{checkpoints}/{name}", trigger, first_version)
+            stats, name, f"{out}/{name}", f"{checkpoints}/{name}", trigger)
     return running
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped for lateness over the progress reports still held."""
-    return sum(op["numRowsDroppedByWatermark"]
-               for progress in query.recentProgress for op in progress["stateOperators"])
+def await_all(running: dict[str, StreamingQuery]) -> None:
+    """Wait until every query has ended; if one fails, stop the others and raise its error."""
+    open_ = dict(running)
+    while open_:
+        for name, query in list(open_.items()):
+            try:
+                ended = query.awaitTermination(1)
+            except Exception:
+                for other in running.values():
+                    other.stop()
+                raise
+            if ended:
+                del open_[name]
+
+
+class LateRows(StreamingQueryListener):
+    """Rows dropped for lateness per query id, added up over all batches since it was attached."""
+
+    def __init__(self):
+        self.dropped: Counter[str] = Counter()
+
+    def attach(self, spark: SparkSession) -> LateRows:
+        spark.streams.addListener(self)
+        return self
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        self.dropped[str(progress.id)] += sum(
+            op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.dropped[str(query.id)]

@@ -4,18 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.files import append_version
+from ..session import file_system
+from ..sources.files import append_version, next_generation
 
 
-def versioned_sink(path: str, first_version: int = 0) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch writer: batch n becomes version ``first_version`` + n.
+def generation_of(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The generation of a checkpoint: above everything in the table when it first starts.
 
-    A batch replayed after a failure overwrites its own folder. A query restarted with a new
-    checkpoint counts from 0 again, so give it a ``first_version`` above what is already there.
+    It is kept beside the checkpoint, so a restart continues it and a new checkpoint, whose batch
+    numbers begin at 0 again, still outranks what older ones wrote.
     """
+    note = f"{checkpoint.rstrip('/')}.generation"
+    system, target = file_system(spark, note)
+    if system.exists(target):
+        names = [s.getPath().getName() for s in system.listStatus(target)]
+        return int(names[0])
+    generation = next_generation(spark, path)
+    system.mkdirs(file_system(spark, f"{note}/{generation}")[1])
+    return generation
+
+
+def versioned_sink(path: str, generation: int = 0) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch writer: a replayed batch overwrites its own folders, an empty one writes
+    nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_version(batch, path, first_version + batch_id)
+        if not batch.isEmpty():
+            append_version(batch, path, batch_id, generation)
 
     return write

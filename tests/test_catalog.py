@@ -5,8 +5,8 @@ from compare import connect, mismatch
 
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
-ROWS_ONLY = {"approx_uv_by_brand", "cluster_stats", "product_ranking_approx", "rfm_kmeans",
-             "user_profile"}
+# The training-data operators have brute-force tests of their own.
+OWN = {q for q in QUERIES if q == "pipeline" or q.startswith("op") and q[2].isdigit()}
 
 
 @pytest.fixture(scope="module")
@@ -14,8 +14,8 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-def test_every_query_has_sql_except_the_listed_ones():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+def test_every_query_has_sql():
+    assert set(QUERIES) - set(ORACLES) <= OWN
     assert set(ORACLES) <= set(QUERIES)
 
 

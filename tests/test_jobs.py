@@ -1,16 +1,24 @@
 """The whole path: history and replay in, result tables out, as a user would run it."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from basketflow.operators.windows import brand_windows
 from basketflow.plans import serving
 from basketflow.plans.jobs import main
 from basketflow.schema import (
     DETAIL, FUNNEL_DAILY, REALTIME_BRAND, REALTIME_GLOBAL, RETENTION_DAILY, USER_PROFILE,
 )
-from basketflow.session import checkpoint_root, scratch_path
+from basketflow.session import checkpoint_root, is_local, scratch_path
 from basketflow.sources.files import read_detail, read_latest
 from basketflow.sources.star import raw_columns
+from basketflow.streaming.queries import await_all, start_all
+
+ROOT = Path(__file__).resolve().parent.parent
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +67,63 @@ def test_replay_then_stream(spark, work):
     assert serving.overview(minutes).count() == 30
 
 
+def test_backfill_then_stream_from_the_cut_over_day(spark, work):
+    """History by the windows job, the rest by the stream: together they equal one batch."""
+    cut = "2024-01-20"
+    main(["windows", "--detail", f"{work}/detail", "--out", f"{work}/mix", "--end", "2024-01-19"], spark)
+    detail = read_detail(spark, f"{work}/detail").filter("event_type <> 'error'")
+    later = detail.filter(F.col("event_date") >= cut)
+    inbox = f"{work}/mix-in"
+    later.coalesce(1).write.parquet(inbox)
+    stream = spark.readStream.schema(DETAIL.schema).parquet(inbox)
+    await_all(start_all(stream, f"{work}/mix", f"{work}/mix-ck", {"availableNow": True}))
+    newest = later.agg(F.max("event_time")).first()[0]
+    want = brand_windows(detail).filter(
+        (F.col("window_end") <= F.lit(newest) - F.expr("INTERVAL 30 SECONDS"))
+        | (F.col("window_start") < F.lit(cut).cast("timestamp")))
+    got = read_latest(spark, f"{work}/mix/{REALTIME_BRAND.name}", REALTIME_BRAND)
+    assert got.exceptAll(REALTIME_BRAND.conform(want)).count() == 0
+    assert got.count() == want.count()
+    main(["compact", "--out", f"{work}/mix", "--end", cut], spark)
+    again = read_latest(spark, f"{work}/mix/{REALTIME_BRAND.name}", REALTIME_BRAND)
+    assert again.count() == want.count()
+
+
+def test_options_that_do_not_apply_are_refused(spark):
+    with pytest.raises(SystemExit):
+        main(["retention", "--detail", "x", "--out", "y", "--start", "2024-01-01"], spark)
+    with pytest.raises(SystemExit):
+        main(["replay", "--csv", "x", "--servers", "h:1"], spark)
+
+
+def test_only_a_local_master_may_do_without_a_shared_folder():
+    assert is_local("local") and is_local("local[4]") and is_local("local[*]")
+    assert not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+    assert not is_local("spark://host:7077")
+
+
+def test_slices_stay_in_time_order_when_the_sort_spills(tmp_path, sf_dir):
+    """In a session that spills every 200 rows, each written slice file ascends in time."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from basketflow.session import build_session
+from basketflow.plans.jobs import main
+from basketflow.sources.star import raw_columns
+spark = build_session("spill", "local[2]", {{
+    "spark.shuffle.spill.numElementsForceSpillThreshold": "200", "spark.ui.enabled": "false",
+    "spark.sql.shuffle.partitions": "3", "spark.checkpoint.dir": {str(tmp_path / 'ck')!r}}})
+raw_columns(spark, {sf_dir!r}).write.option("header", True).csv({str(tmp_path / 'h')!r})
+main(["replay", "--csv", {str(tmp_path / 'h')!r}, "--out", {str(tmp_path / 's')!r},
+      "--slices", "3"], spark)
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, capture_output=True, timeout=240)
+    files = list((tmp_path / "s").glob("slice=*/part-*"))
+    lines = [f.read_text().splitlines() for f in files]
+    assert sum(map(len, lines)) > 600
+    assert all(own == sorted(own, key=lambda line: line[:19]) for own in lines)
+
+
 def test_scratch_follows_the_session_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert checkpoint_root(spark) == configured

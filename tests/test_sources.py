@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from basketflow.operators.rollups import item_stats_daily
 from basketflow.operators.funnel import funnel_daily
 from basketflow.schema import FUNNEL_DAILY, REALTIME_BRAND
 from basketflow.operators.windows import brand_windows
@@ -50,6 +52,53 @@ def test_bulk_load_keeps_unknown_types_and_bad_numbers(spark, sf_dir, tmp_path):
     assert broken.filter("user_id <> 0 OR price <> 0").count() == 0 < broken.count()
 
 
+def test_lines_with_wrong_field_counts_and_values_too_large_are_refused(spark, tmp_path):
+    path = tmp_path / "h.csv"
+    good = "2019-11-01 00:00:00 UTC,view,1,2,c,{brand},{price},3,s"
+    path.write_text("\n".join([
+        "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session",
+        good.format(brand='"a ""q"" z"', price="1.50"),
+        "2019-11-01 00:00:00 UTC,view,1",
+        good.format(brand="b", price="1") + ",extra,fields",
+        "never,view,1,2,c,b,1,3,s",
+        good.replace(",2,", ",18446744073709551615,").format(brand="b", price="1"),
+        good.format(brand="b", price="123456789.00"),
+        good.format(brand="b", price="n/a")]) + "\n")
+    raw = files.read_raw_csv(spark, str(path))
+    assert {r.reason: r.rows for r in files.bulk_load_rejects(raw).collect()} == {
+        "fields": 2, "time": 1, "id": 1, "price": 1}
+    loaded = sorted((r.brand, str(r.price)) for r in files.bulk_load(raw).collect())
+    assert loaded == [('a "q" z', "1.50"), ("b", "0.00")]
+    with pytest.raises(ValueError, match="5 rows"):
+        files.bulk_load(raw, max_unreadable=4)
+
+
+def test_days_are_written_as_few_files(spark, sf_dir, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        stats = item_stats_daily(behavior(spark, sf_dir))
+        files.write_replace(stats, str(tmp_path / "items"), "event_date")
+        files.write_detail(behavior(spark, sf_dir), str(tmp_path / "detail"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name in ("items", "detail"):
+        assert len(list((tmp_path / name).glob("*/*.parquet"))) == 30
+
+
+def test_a_failed_rewrite_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.write_replace(spark.range(5).toDF("x"), path)
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("x"))
+    with pytest.raises(Exception):
+        files.write_replace(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    files.write_replace(spark.range(2).toDF("x"), path)
+    assert spark.read.parquet(path).count() == 2
+    assert not list(tmp_path.glob("t__old*"))
+
+
 def test_connector_options():
     kafka = external.kafka_options("h:1", "t", 100)
     assert kafka["startingOffsets"] == "earliest" and kafka["maxOffsetsPerTrigger"] == "100"

@@ -1,15 +1,17 @@
 """Streams fed by time-ordered file slices, compared with the batch definition."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from basketflow.operators.replay import replay_slices
 from basketflow.operators.windows import brand_windows, category_windows, global_windows
 from basketflow.schema import DETAIL, REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL
-from basketflow.sources.files import read_detail, read_latest
+from basketflow.sources.files import append_version, compact, read_detail, read_latest
 from basketflow.sources.star import behavior
 from basketflow.streaming.queries import (
-    late_rows, start_all, start_windows, windowed_outputs, with_event_time,
+    LateRows, await_all, start_all, start_windows, windowed_outputs, with_event_time,
 )
 from builders import events, row
 
@@ -99,11 +101,16 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     for rows in batches:
         feed(events(spark, rows), inbox)
     stats = windowed_outputs(source(spark, inbox), "60 seconds")[REALTIME_GLOBAL.name]
+    late = LateRows().attach(spark)
     query = start_windows(stats, "late", out, ck, ONCE)
     query.awaitTermination()
+    deadline = time.monotonic() + 20
+    while late.of(query) < 1 and time.monotonic() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(late)
     first = read_latest(spark, out, REALTIME_GLOBAL).orderBy("window_start").first()
     assert (first.pv, first.uv) == (2, 2)
-    assert late_rows(query) == 1
+    assert late.of(query) == 1
 
 
 def test_rows_within_the_delay_are_kept(spark, tmp_path):
@@ -136,3 +143,68 @@ def test_approximate_viewers_in_a_stream(spark, tmp_path, slices):
     newest = frame.agg(F.max("event_time")).first()[0]
     same(read_latest(spark, out, REALTIME_BRAND),
          REALTIME_BRAND.conform(closed(brand_windows(frame, "1 day"), newest)))
+
+
+def test_late_rows_outlive_the_progress_reports(spark, tmp_path):
+    """The count goes on although Spark keeps two reports only."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    inbox, out, ck = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    feed(events(spark, [row("2024-01-01 01:00:00")]), inbox)
+    feed(events(spark, [row("2024-01-01 02:00:00")]), inbox)
+    for k in range(6):
+        feed(events(spark, [row("2024-01-01 00:00:03", user=k)]), inbox)
+    stats = windowed_outputs(source(spark, inbox), "60 seconds")[REALTIME_GLOBAL.name]
+    late = LateRows().attach(spark)
+    query = start_windows(stats, "late-long", out, ck, ONCE)
+    query.awaitTermination()
+    deadline = time.monotonic() + 20
+    while late.of(query) < 6 and time.monotonic() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(late)
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert late.of(query) == 6 and len(query.recentProgress) <= 3
+
+
+def test_a_new_checkpoint_outranks_the_old_one(spark, tmp_path, slices):
+    parts, frame = slices
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    for part in parts:
+        feed(part, inbox)
+    for turn, only in enumerate(("view", "purchase")):
+        source_ = source(spark, inbox).filter(F.col("event_type").isin(only, "cart"))
+        stats = windowed_outputs(source_)[REALTIME_BRAND.name]
+        start_windows(stats, f"turn{turn}", out, str(tmp_path / f"ck{turn}"), ONCE).awaitTermination()
+    got = read_latest(spark, out, REALTIME_BRAND).filter("purchase_cnt > 0")
+    assert got.count() > 0 and got.filter("pv > 0").count() == 0
+
+
+def test_a_failed_branch_stops_the_rest(spark, tmp_path, slices):
+    parts, _ = slices
+    inbox = tmp_path / "in"
+    feed(parts[0], inbox)
+    good = windowed_outputs(source(spark, inbox))[REALTIME_BRAND.name]
+    bad = source(spark, inbox).withColumn("event_type", F.raise_error(F.lit("broken")).cast("string"))
+    running = {
+        "good": start_windows(good, "good", str(tmp_path / "a"), str(tmp_path / "cka"),
+                              {"processingTime": "1 second"}),
+        "bad": start_windows(windowed_outputs(bad)[REALTIME_BRAND.name], "bad", str(tmp_path / "b"),
+                             str(tmp_path / "ckb"), {"processingTime": "1 second"})}
+    with pytest.raises(Exception, match="broken"):
+        await_all(running)
+    assert not running["good"].isActive
+
+
+def test_compaction_leaves_one_row_per_key(spark, tmp_path, slices):
+    parts, frame = slices
+    path = str(tmp_path / "t")
+    for batch, part in enumerate(parts):
+        append_version(brand_windows(part, "1 day"), path, batch)
+    append_version(brand_windows(frame, "1 day"), path, 0, generation=1)
+    before = read_latest(spark, path, REALTIME_BRAND)
+    want = before.collect()
+    assert compact(spark, path, REALTIME_BRAND, "2024-01-15") > 0
+    after = read_latest(spark, path, REALTIME_BRAND)
+    assert sorted(map(str, after.collect())) == sorted(map(str, want))
+    early = spark.read.parquet(path).filter("_day < '2024-01-15'")
+    assert early.count() == early.select("window_start", "brand").distinct().count()
+    assert compact(spark, path, REALTIME_BRAND, "2024-01-15") == 0
