@@ -33,6 +33,8 @@ ANCHOR = datetime(2024, 6, 1, 12, 0, 0, tzinfo=timezone.utc)
 RANGE = ("2024-01-05", "2024-01-14")
 
 _QUERIES: dict[str, Query] = {}
+# The same operators apart from the frame they read, for benches on prepared tables.
+PARTS: dict[str, tuple[Callable, Callable]] = {}
 
 
 def _naive(df: DataFrame) -> DataFrame:
@@ -52,6 +54,8 @@ def query(source: Callable[[SparkSession, str], DataFrame] | None = star.behavio
             return _naive(result)
 
         _QUERIES[name or fn.__name__] = run
+        if source:
+            PARTS[name or fn.__name__] = source, fn
         return fn
 
     return register
@@ -696,6 +700,11 @@ def product_ranking_li(events):
     return serving.product_ranking(events)
 
 
+@query(star.behavior_li)
+def product_ranking_from_items(events):
+    return serving.product_ranking(events, items=rollups.item_stats_daily(events))
+
+
 @query(star.behavior_li)
 def product_ranking_approx(events):
     """The ranking with sketched users beside the exact one."""

@@ -475,6 +475,7 @@ def oracle_sql() -> dict[str, str]:
     sql["cohort_assign_join"] = sql["cohort_assign"]
     sql["global_sort"] = sql["retention_matrix"]
     sql["exactly_once_resume"] = sql["stream_brand"]
+    sql["product_ranking_from_items"] = sql["product_ranking_li"]
     sql["stream_compacted"] = sql["stream_brand"]
     sql["windows_backfill"] = sql["win_brand"]
     sql["user_segments"] = sql["segment_summary"]

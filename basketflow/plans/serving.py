@@ -61,19 +61,27 @@ def category_ranking(stats: DataFrame, limit: int = 10) -> DataFrame:
     return _ranking(stats, "category_id", limit)
 
 
-def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True) -> DataFrame:
+def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True,
+                    items: DataFrame | None = None) -> DataFrame:
     """Best sellers from detail; ``uv`` counts users of any behaviour.
 
     A limited side has a known number of rows, so Spark's own threshold decides on a broadcast.
+    With ``items``, the daily item table over the same events, the winners come from its far
+    fewer rows (daily counts and sales add up) and detail is read once.
 
     Only the winners' users are counted: sales are totalled per product first, then the few
     winners, carrying their totals, select the rows whose users matter. Pairs of product and
     user for the rest of the catalogue never reach a shuffle, and detail is read twice in all.
     """
     order = [F.col("gmv").desc(), F.col("product_id")]
-    totals = events.groupBy("product_id").agg(
-        cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
-        cond_sum(PURCHASE).alias("gmv"))
+    if items is None:
+        totals = events.groupBy("product_id").agg(
+            cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
+            cond_sum(PURCHASE).alias("gmv"))
+    else:
+        totals = items.groupBy("product_id").agg(
+            F.sum("view_cnt").alias("pv"), F.sum("purchase_cnt").alias("purchase_cnt"),
+            as_gmv(F.sum("gmv")).alias("gmv"))
     top = order_limit(totals, order, limit)
     winners = events.select("product_id", "brand", "user_id").join(top, "product_id")
     measures = ["product_id", "pv", "purchase_cnt", "gmv"]
