@@ -24,7 +24,7 @@ CLUSTERS = 4
 SEED = 42
 # Partitions of the pinned users. k-means draws its starting centres per partition, so this number
 # is part of the result: the same on every cluster, whatever its shuffle setting.
-LAYOUT_PARTITIONS = 64
+LAYOUT_PARTITIONS = 32
 
 
 def ref_date(events: DataFrame) -> DataFrame:
