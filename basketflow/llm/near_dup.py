@@ -3,16 +3,17 @@
 A document is the set of its distinct five-word shingles (A-Z lower-cased); with fewer words the
 whole sequence is one shingle. A sketch has one 16-bit register for each of 128 hash ranges: the
 leading zeros of the smallest hash in the range (6 bits) and the 10 bits that follow. Exact copies
-fold into one class first. Four registers make a band; classes that share a band are candidates.
-Their Jaccard similarity is estimated from equal registers, corrected for chance collisions, and
-only pairs that could reach the threshold (4.5 standard deviations of slack) are confirmed on full
-shingle sets.
-
-A bucket of n classes is never expanded into its pairs. First every class is confirmed against
-its most similar bucket leader. Components are formed, and from then on only pairs across
-components matter: each class proposes its few best partners in every other component of a bucket,
-more of them every round, until no untested pair is left. Large buckets are cut into cells
-of bounded size that together hold every pair.
+fold into one class first. Four registers make a band; classes that share a band meet in a bucket.
+Their Jaccard similarity is estimated from equal registers, corrected for chance collisions. A
+class without a partner that could reach the threshold (4.5 standard deviations of slack) goes no
+further.
+
+A bucket of n classes is never expanded into its pairs. Every class names one hub, the most typical
+class of the bucket it resembles most; classes connected through hubs form a cluster. Inside
+a cluster all intersections are counted exactly on full shingle sets, in cells of bounded size that
+together hold every pair, and a cell returns one link per class, not its pairs. Pairs of different
+clusters that share a bucket are confirmed one by one, the most similar first, and only as long
+as they would join two components.
 
 Defined cases: documents without words (null, empty, blanks) have 0 shingles and stay alone; rows
 with a null doc_id take no part and are kept with a null component; rows that repeat a doc_id
@@ -33,9 +34,11 @@ SHINGLE = 5
 REGISTERS = 128
 BAND = 4
 MANTISSA = 10
-CELL = 2048           # classes of a bucket compared in one piece
+CELL = 2048           # classes of a bucket or cluster compared in one piece
+CELL_SHINGLES = 1 << 20    # shingles of a cluster in one piece, about
+RARE = 16             # holders up to which a shingle's pairs are counted one by one
 SLACK = 4.5           # standard deviations granted to the estimate
-FIRST_TRIES = 8       # partners proposed per class and component in the first round across
+FIRST_TRIES = 32      # partners proposed per class and component in the first round across
 
 _BUCKET_BITS = 7
 _LIMITS = np.arange(1, REGISTERS, dtype=np.uint64) << np.uint64(64 - _BUCKET_BITS)
@@ -119,21 +122,6 @@ def _bands(batches):
             "node": batch.column(0).to_numpy()[row]})
 
 
-def _plausible(percent: int):
-    """Pairs with registers and sizes of both -> pairs that could reach the threshold."""
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            j, used = estimate(_regs(col["a_regs"]), _regs(col["b_regs"]))
-            na, nb = col["a_n"].to_numpy(), col["b_n"].to_numpy()
-            keep = could_reach(j, used, percent) \
-                & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-            yield pa.record_batch({"a": col["a"], "b": col["b"], "j": j}).filter(pa.array(keep))
-    return run
-
-
 def _groups(batches, key: str):
     """Runs of equal keys in sorted input, also across batches, as tables."""
     rest = None
@@ -151,13 +139,113 @@ def _groups(batches, key: str):
         yield rest
 
 
+def _typical(regs: np.ndarray) -> np.ndarray:
+    """For each class of a bucket, how many registers hold the bucket's most frequent value."""
+    score = np.zeros(len(regs), np.int64)
+    for column in regs.T:
+        value, back, count = np.unique(column, return_inverse=True, return_counts=True)
+        count[value == 0] = 0
+        score += back == np.argmax(count)
+    return score
+
+
+def _possible(regs, size, part, percent: int):
+    """Estimates of some rows against all, and which pairs could reach the threshold."""
+    j, used = estimate(regs[part][:, None, :], regs[None, :, :])
+    na, nb = size[part][:, None], size[None, :]
+    good = could_reach(j, used, percent) \
+        & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+    return j, good
+
+
+def _propose(percent: int):
+    """Per cell of a bucket: (class, hub, estimate) of the classes with a possible partner."""
+    def run(batches):
+        for table in _groups(batches, "cell"):
+            if table.num_rows < 2:
+                continue
+            node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
+            regs = _regs(table.column("regs").combine_chunks())
+            found = np.zeros(len(node), bool)
+            for low in range(0, len(node), 64):
+                part = np.arange(low, min(low + 64, len(node)))
+                _, good = _possible(regs, size, part, percent)
+                good[np.arange(len(part)), part] = False
+                found[part] = good.any(axis=1)
+            own = np.flatnonzero(found)
+            if not len(own):
+                continue
+            score = _typical(regs[own]) if len(own) > 2 else -own
+            hub = own[np.lexsort((node[own], -score))[0]]
+            j, _ = estimate(regs[own], regs[hub])
+            yield pa.record_batch({"a": node[own], "b": np.full(len(own), node[hub]), "j": j})
+    return run
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Exact sizes of all pairwise intersections.
+
+    Shingles with few holders are counted pair by pair, the others as products of 0/1 matrices.
+    """
+    m = len(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    count = np.diff(np.append(first, len(flat)))
+    common = np.zeros((m, m), np.int64)
+    for c in range(2, RARE + 1):
+        at = first[count == c]
+        if len(at):
+            holders = owner[at[:, None] + np.arange(c)]
+            for x in range(c):
+                for y in range(x + 1, c):
+                    np.add.at(common, (holders[:, x], holders[:, y]), 1)
+    common += common.T
+    often = np.flatnonzero(count > RARE)
+    for low in range(0, len(often), 2048):
+        part = often[low:low + 2048]
+        size = count[part]
+        at = np.repeat(first[part] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        block = np.zeros((m, len(part)), np.float32)
+        block[owner[at], np.repeat(np.arange(len(part)), size)] = 1
+        common += np.rint(block @ block.T).astype(np.int64)
+    np.fill_diagonal(common, [len(s) for s in sets])
+    return common
+
+
+def _exact_cell(percent: int):
+    """Per cell of a cluster: links that connect what is connected in it."""
+    def run(batches):
+        for table in _groups(batches, "cell"):
+            if table.num_rows < 2:
+                continue
+            node = table.column("node").to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
+            size = np.array([len(x) for x in sets])
+            common = intersections(sets)
+            linked = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+            label = np.arange(len(node))
+            while True:
+                best = np.where(linked, label[None, :], len(node)).min(axis=1)
+                best = best[best]
+                if (best == label).all():
+                    break
+                label = best
+            far = np.flatnonzero(label != np.arange(len(node)))
+            yield pa.record_batch({"a": node[far], "b": node[label[far]]})
+    return run
+
+
 def _across(percent: int, tries: int):
     """Per cell: for each class its best untested partners in every other component."""
     def run(batches):
         for table in _groups(batches, "cell"):
             node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
             home, pair = table.column("home").to_numpy(), table.column("pair").to_numpy()
-            if len(node) < 2 or (comp == comp[0]).all():
+            cluster = table.column("cluster").to_numpy()
+            if len(node) < 2 or (comp == comp[0]).all() or (cluster == cluster[0]).all():
                 continue
             size = table.column("n").to_numpy()
             regs = _regs(table.column("regs").combine_chunks())
@@ -167,10 +255,9 @@ def _across(percent: int, tries: int):
             a_out, b_out, j_out = [], [], []
             for low in range(0, len(asking), 64):
                 part = asking[low:low + 64]
-                j, used = estimate(regs[part][:, None, :], regs[None, :, :])
-                na, nb = size[part][:, None], size[None, :]
-                good = could_reach(j, used, percent) & (comp[part][:, None] != comp[None, :]) \
-                    & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+                j, good = _possible(regs, size, part, percent)
+                good &= (comp[part][:, None] != comp[None, :]) \
+                    & (cluster[part][:, None] != cluster[None, :])
                 if pair[0]:     # a cell of two blocks: pairs inside a block have their own cell
                     good &= home[part][:, None] != home[None, :]
                 for k, row in enumerate(part):
@@ -254,31 +341,32 @@ def components(edges: DataFrame) -> DataFrame:
     return tx.stored(result, "components")
 
 
-class _Linker:
-    """State of one run: classes, buckets, tested pairs."""
+def _full(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, set) of some classes, from the text of one holder each.
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, percent: int):
-        self.docs, self.classes, self.percent = docs, classes, percent
-        self.tested: DataFrame | None = None
+    Always a merge join: the texts are shuffled once at any size, the sets never more than needed.
+    """
+    holders = classes.join(nodes, "node", "left_semi").select("node", F.col("rep").alias("doc_id"))
+    return tx.stored(
+        docs.join(holders.hint("merge"), "doc_id").select("node", "text")
+        .mapInArrow(_full_sets, "node long, set binary").dropDuplicates(["node"]), "sets")
+
+
+def _cells(rows: DataFrame, key: str, blocks) -> DataFrame:
+    """Deal the rows of each key in blocks; every two blocks of a key meet in one cell."""
+    return (rows.withColumn("blocks", blocks)
+            .withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
+            .withColumn("mate", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .withColumn("cell", F.xxhash64(key, F.least("home", "mate"), F.greatest("home", "mate")))
+            .withColumn("pair", F.col("home") != F.col("mate")))
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Test pairs (stored) on full sets and add them to ``tested``."""
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        holders = self.classes.select("node", "rep").join(ends, "node", "left_semi")
-        sets = tx.stored(
-            self.docs.join(holders.select("node", F.col("rep").alias("doc_id")), "doc_id")
-            .select("node", "text").mapInArrow(_full_sets, "node long, set binary")
-            .dropDuplicates(["node"]), "sets")
-        done = tx.stored(
-            _both(pairs.select("a", "b"), sets, set="set")
-            .select("a", "b", "a_set", "b_set")
-            .mapInArrow(_confirm(self.percent), "a long, b long, linked boolean"), "tested")
-        self.tested = done if self.tested is None else self.tested.union(done)
 
-    def labels(self) -> DataFrame:
-        roots = components(self.tested.filter("linked"))
-        return self.classes.select("node").join(roots, "node", "left") \
-            .select("node", F.coalesce("root", "node").alias("comp"))
+def _by_cell(rows: DataFrame) -> DataFrame:
+    return rows.repartition("cell").sortWithinPartitions("cell", "node")
+
+
+def _bucket_blocks():
+    return F.ceil(F.col("size") / CELL).cast("long")
 
 
 def link(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -294,28 +382,36 @@ def link(docs: DataFrame, percent: int = 85) -> DataFrame:
         .groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                              F.first("regs").alias("regs")), "classes")
     bands = classes.select("node", "regs").mapInArrow(_bands, "key long, node long")
-    shared = tx.stored(bands.groupBy("key").agg(F.count("*").alias("size"),
-                                                F.min("node").alias("leader"))
-                       .filter("size > 1"), "buckets")
+    shared = tx.stored(bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"),
+                       "buckets")
     buckets = tx.stored(bands.join(shared, "key"), "members")
 
-    linker = _Linker(docs, classes, percent)
-    led = buckets.filter("node <> leader").select(F.col("node").alias("a"),
-                                                  F.col("leader").alias("b")).distinct()
-    plausible = _both(led, classes, regs="regs", n="n").mapInArrow(
-        _plausible(percent), "a long, b long, j double")
-    best = plausible.groupBy("a").agg(F.max(F.struct("j", "b")).alias("best"))
-    linker.confirm(tx.stored(best.select("a", F.col("best.b").alias("b")), "pairs"))
-    labels = linker.labels()
-
+    facts = classes.select("node", "n", "regs")
+    hubs = tx.stored(
+        _by_cell(_cells(buckets, "key", _bucket_blocks()).select("cell", "node")
+                 .join(facts, "node"))
+        .select("cell", "node", "n", "regs")
+        .mapInArrow(_propose(percent), "a long, b long, j double")
+        .groupBy("a").agg(F.max(F.struct("j", "b")).alias("best"))
+        .select("a", F.col("best.b").alias("b")), "hubs")
+    clusters = tx.stored(_clusters(hubs), "clusters")
+    near = tx.stored(clusters.join(facts, "node"), "near")     # classes with a possible partner
+    sets = _full(docs, classes, clusters.select("node"))
+    edges = tx.stored(_inside(near, sets, percent), "links")
+
+    tested: DataFrame | None = None
     tries = FIRST_TRIES
     while True:
-        pairs = tx.stored(_open_pairs(buckets, classes, linker, labels, tries), "pairs")
+        labels = _labels(classes, edges)
+        pairs = tx.stored(_open_pairs(buckets, near, tested, labels, percent, tries), "pairs")
         if pairs.isEmpty():
             break
-        linker.confirm(pairs)
-        labels = linker.labels()
-        tries *= 8
+        done = tx.stored(
+            _both(pairs.select("a", "b"), sets, set="set").select("a", "b", "a_set", "b_set")
+            .mapInArrow(_confirm(percent), "a long, b long, linked boolean"), "tested")
+        tested = done if tested is None else tested.union(done)
+        edges = edges.union(done.filter("linked").select("a", "b"))
+        tries *= 32
 
     labelled = classes.select("node", "rep").join(labels, "node")
     smallest = labelled.groupBy("comp").agg(F.min("rep").alias("component_id"))
@@ -331,32 +427,55 @@ def link(docs: DataFrame, percent: int = 85) -> DataFrame:
                                            F.lit(True))))
 
 
-def _open_pairs(buckets: DataFrame, classes: DataFrame, linker: _Linker, labels: DataFrame,
-                tries: int) -> DataFrame:
-    """Untested pairs across components that share a bucket and could reach the threshold."""
-    member = buckets.select("key", "size", "node").join(labels, "node")
-    mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")) \
-        .filter("low <> high").select("key")
+def _clusters(hubs: DataFrame) -> DataFrame:
+    """(node, cluster) of every class with a possible partner."""
+    roots = components(hubs)
+    return hubs.select(F.col("a").alias("node")).join(roots, "node", "left") \
+        .select("node", F.coalesce("root", "node").alias("cluster"))
+
+
+def _inside(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that connect what is connected inside each cluster, from exact intersections."""
+    clusters = near.select("node", "cluster", "n")
+    weight = clusters.groupBy("cluster").agg(
+        F.count("*").alias("members"), F.sum("n").alias("shingles")).filter("members > 1")
+    rows = clusters.join(tx.stored(weight, "cluster-sizes"), "cluster")
+    blocks = F.ceil(F.greatest(F.col("members") / CELL,
+                               F.col("shingles") / CELL_SHINGLES)).cast("long")
+    return (_by_cell(_cells(rows, "cluster", blocks).select("cell", "node").join(sets, "node"))
+            .select("cell", "node", "set").mapInArrow(_exact_cell(percent), "a long, b long")
+            .distinct())
+
+
+def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    return classes.select("node").join(components(edges), "node", "left") \
+        .select("node", F.coalesce("root", "node").alias("comp"))
+
+
+def _open_pairs(buckets: DataFrame, near: DataFrame, tested: DataFrame | None,
+                labels: DataFrame, percent: int, tries: int) -> DataFrame:
+    """Untested pairs of different clusters and components that share a bucket."""
+    placed = near.select("node", "cluster").join(labels, "node")
+    member = buckets.join(placed, "node")
+    mixed = member.groupBy("key").agg(
+        F.min("cluster").alias("low"), F.max("cluster").alias("high"),
+        F.min("comp").alias("first"), F.max("comp").alias("last")) \
+        .filter("low <> high AND first <> last").select("key")
     member = member.join(tx.stored(mixed, "mixed"), "key", "left_semi")
-    failed = linker.tested.filter("not linked")
-    failed = failed.select(F.col("a").alias("node"), F.col("b").alias("other")) \
-        .union(failed.select("b", "a")).groupBy("node") \
-        .agg(F.collect_set("other").alias("failed"))
-    # A bucket beyond CELL classes is dealt in blocks; every two blocks meet in one cell.
-    blocks = F.ceil(F.col("size") / CELL).cast("long")
-    member = (member.withColumn("blocks", blocks)
-              .withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
-              .withColumn("mate", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                       F.col("blocks") - 1)))
-              .withColumn("cell", F.xxhash64("key", F.least("home", "mate"),
-                                             F.greatest("home", "mate")))
-              .withColumn("pair", F.col("home") != F.col("mate")))
-    rows = (member.select("cell", "pair", "home", "node", "comp")
-            .join(classes.select("node", "n", "regs"), "node")
-            .join(failed, "node", "left"))
-    return (rows.select("cell", "pair", "home", "node", "comp", "n", "regs", "failed")
-            .repartition("cell").sortWithinPartitions("cell", "node")
-            .mapInArrow(_across(linker.percent, tries), "a long, b long, j double")
+    rows = (_cells(member, "key", _bucket_blocks())
+            .select("cell", "pair", "home", "node", "comp", "cluster")
+            .join(near.select("node", "n", "regs"), "node"))
+    if tested is None:
+        rows = rows.withColumn("failed", F.lit(None).cast("array<bigint>"))
+    else:
+        failed = tested.filter("not linked")
+        failed = failed.select(F.col("a").alias("node"), F.col("b").alias("other")) \
+            .union(failed.select("b", "a")).groupBy("node") \
+            .agg(F.collect_set("other").alias("failed"))
+        rows = rows.join(failed, "node", "left")
+    return (_by_cell(rows.select("cell", "pair", "home", "node", "comp", "cluster", "n", "regs",
+                                 "failed"))
+            .mapInArrow(_across(percent, tries), "a long, b long, j double")
             .groupBy("a", "b").agg(F.max("j").alias("j")).select("a", "b"))
 
 
