@@ -54,3 +54,11 @@ def test_odd_rows(odd, nothing):
 def test_no_python_on_the_main_path(odd):
     plan = licenses.scanned(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_matches_sql(spark, sf_dir):
+    import __spark_entry__ as contract
+    from compare import connect, mismatch
+    name = "op9_license_scan"
+    assert mismatch(spark, connect(sf_dir), sf_dir, contract.queries()[name],
+                    contract.oracle_sql()[name]) is None
