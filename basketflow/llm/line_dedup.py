@@ -245,7 +245,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     marked = docs.mapInArrow(_marks, _with(docs.schema, "_mark long"))
     joined = marked.join(
         found.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark2"), "deleted",
-                     "deleted_words", "partners"),
+                     "deleted_words", "partners").hint("merge"),
         (F.col("doc_id") == F.col("_id")) & (F.col("_mark") == F.col("_mark2")), "left") \
         .select(*columns, "deleted", "deleted_words", "partners")
     return joined.mapInArrow(_delete, joined.schema)
