@@ -4,7 +4,8 @@ Lines and templates are normalised alike (A-Z lower-cased, runs of ASCII letters
 words). The coefficient is 2 * distinct common bigrams / (bigrams of the line + bigrams of the
 template). A coefficient of t needs sizes within a factor t / (2 - t) of each other, so a line is
 compared only with templates in that range, and lines outside the range of all templates go no
-further than the count of their words. DataFrame functions only.
+further than the count of their words. Before that, a document must hold one of a few bigrams
+without which no line can reach the threshold. DataFrame functions only.
 
 Defined cases: null and empty texts, and lines of fewer than two words, match nothing; of equal
 coefficients the template last in code point order wins; every row of ``docs`` gives one row of
@@ -13,6 +14,7 @@ coefficients the template last in code point order wins; every row of ``docs`` g
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +66,28 @@ def template_bigrams(text: str) -> list[str]:
     return [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
+def telltale_bigrams(templates: dict[str, str], threshold: float) -> list[str]:
+    """Bigrams of which every matching line has at least one.
+
+    A line reaches the threshold with a template of n bigrams only by sharing ``least`` of them,
+    so any n - least + 1 of them will do; the longest ones are the rarest.
+    """
+    chosen: set[str] = set()
+    for text in templates.values():
+        own = sorted(set(template_bigrams(text)), key=lambda b: (-len(b), b))
+        least = math.ceil(threshold * len(own) / (2 - threshold) - 1e-9)
+        chosen.update(own[:len(own) - least + 1])
+    return sorted(chosen)
+
+
+def _suspects(docs: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
+    """Documents with a telltale bigram: one pattern over the text, before lines are cut out."""
+    gap = "[^0-9a-z]+"
+    grams = "|".join(b.replace(" ", gap) for b in telltale_bigrams(templates, threshold))
+    pattern = f"(?<![0-9a-z])(?:{grams})"
+    return docs.filter(F.lower("text").rlike(pattern))
+
+
 def _best(templates: dict[str, str], threshold: float) -> Column:
     """Best (dice, template) of a line from its words, null below the threshold."""
     words, n = F.col("words"), F.size("words") - 1
@@ -89,7 +113,8 @@ def _best(templates: dict[str, str], threshold: float) -> Column:
 def matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES,
             threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line_no, template, dice) of every line that reaches the threshold."""
-    return _matched(docs.select("doc_id", F.split("text", "\n").alias("lines")), templates,
+    suspects = _suspects(docs.select("doc_id", "text"), templates, threshold)
+    return _matched(suspects.select("doc_id", F.split("text", "\n").alias("lines")), templates,
                     threshold)
 
 
