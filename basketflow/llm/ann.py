@@ -3,10 +3,11 @@
 Centroids are fitted by k-means on a bounded sample of the vectors (``SAMPLE`` rows, by hash of the
 id) and joined to their nearest neighbours in a small graph. Every vector is stored in the list of
 its nearest centroid and, where it lies near a border, in those of other centroids whose distance
-is within ``REPLICATE`` of the nearest (up to ``COPIES``). A query walks the centroid graph from
-fixed entry points with a beam of ``BEAM`` and reads the lists whose squared distance is within
-``PRUNE`` of the best, up to ``LISTS``. Lists are cut into blocks of bounded size by hash, so a
-list with a third of all rows is many tasks. Inside a block, all queries of the list meet its
+is within ``REPLICATE`` of the nearest (up to ``COPIES``); it finds them by walking the centroid graph
+from fixed entry points with a beam of ``BEAM``. A query reads its nearest lists. How many is
+measured on the table itself: ``PROBES`` of the queries are compared with all rows, and the lists read are as
+many as give these probes a recall of ``RECALL``, up to all lists. Lists are cut into blocks of
+bounded size by hash, so a list with a third of all rows is many tasks. Inside a block, all queries of the list meet its
 vectors in matrix products of bounded size; blocks return their best ``k`` per query and those
 are merged by rank.
 
@@ -21,6 +22,7 @@ distinct id; ties go to the smaller id; queries with fewer candidates than ``k``
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,8 +41,8 @@ NEIGHBOURS = 16          # edges of a centroid in the graph
 BEAM = 64
 REPLICATE = 1.15         # squared-distance ratio up to which a vector is copied to further lists
 COPIES = 4
-PRUNE = 1.6              # squared-distance ratio up to which a query reads further lists
-LISTS = 48
+PROBES = 256             # queries compared with all rows to see how many lists must be read
+RECALL = 0.99            # of the probes; the other queries differ from them by chance
 BLOCK = 4096             # rows of a block, about
 TILE = 512               # queries multiplied at a time
 
@@ -98,6 +100,12 @@ class Index:
         return found, far
 
 
+    def nearest_first(self, q: np.ndarray) -> np.ndarray:
+        """All lists in the order in which queries read them: one row of list numbers a query."""
+        far = (self.centroids ** 2).sum(axis=1) - 2 * self.lengthen(q) @ self.centroids.T
+        return np.argsort(far, axis=1, kind="stable")
+
+
 def usable(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """id and components as doubles, without vectors that take no part."""
     rows = vectors.select(F.col(key).cast("long").alias("id"),
@@ -140,7 +148,7 @@ def fit(rows: DataFrame, n: int, dimensions: int, largest: float) -> Index:
 
 
 def _choose(index: Index, x: np.ndarray, ratio: float, most: int):
-    """(row, list) of the lists a vector or query goes to: within ratio of the nearest."""
+    """(row, list) of the lists a vector goes to: within ratio of the nearest."""
     rows, lists = [], []
     for low in range(0, len(x), TILE):
         ids, far = index.search(index.lengthen(x[low:low + TILE]), BEAM)
@@ -165,6 +173,74 @@ def _assign(shared, ratio: float, most: int):
     return run
 
 
+def _ask(shared, lists: int):
+    """Queries, once for each list they read."""
+    def run(batches):
+        for batch in batches:
+            x = _matrix(batch.column(1)) if batch.num_rows else np.empty((0, 1))
+            for low in range(0, len(x), TILE):
+                order = shared.value.nearest_first(x[low:low + TILE])[:, :lists]
+                take = pa.array(np.repeat(np.arange(low, low + len(order)), order.shape[1]))
+                yield pa.record_batch({"id": batch.column(0).take(take),
+                                       "v": batch.column(1).take(take),
+                                       "list": order.ravel().astype(np.int64)})
+    return run
+
+
+def _probe(shared, k: int):
+    """The k best of a partition for every probe: (query_id, vec_id, score)."""
+    def run(batches):
+        q_ids, q = shared.value
+        score, ids = np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column(0).to_numpy()
+            more = q @ _matrix(batch.column(1)).T
+            more[q_ids[:, None] == own] = -np.inf
+            score = np.hstack([score, more])
+            ids = np.hstack([ids, np.broadcast_to(own, more.shape)])
+            pick = np.argpartition(-score, k - 1, axis=1)[:, :k]
+            score, ids = np.take_along_axis(score, pick, 1), np.take_along_axis(ids, pick, 1)
+        r, c = np.nonzero(np.isfinite(score))
+        yield pa.record_batch({"query_id": q_ids[r], "vec_id": ids[r, c], "score": score[r, c]})
+    return run
+
+
+def lists_to_read(rows: DataFrame, stored: DataFrame, index: Index, every: int, k: int) -> int:
+    """How many of its nearest lists a query must read, measured on PROBES queries.
+
+    Their k best of all rows are found exactly, and looked up in the lists that hold them.
+    """
+    spark = rows.sparkSession
+    most = max(16, min(PROBES, SAMPLE_COMPONENTS // (k * (index.centroids.shape[1] - 1))))
+    probes = (rows.filter(F.col("id") % every == 0)
+              .orderBy(F.xxhash64("id"), "id").limit(most).select("id", "v").toArrow())
+    if not probes.num_rows:
+        return 1
+    q_ids, q = probes.column("id").to_numpy(), _matrix(probes.column("v"))
+    found = rows.select("id", "v").mapInArrow(_probe(spark.sparkContext.broadcast((q_ids, q)), k),
+                                              "query_id long, vec_id long, score double")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = tx.stored(found.withColumn("rank", F.row_number().over(best))
+                      .filter(F.col("rank") <= k).select("query_id", "vec_id"), "probes")
+    # At most PROBES * k rows, each in COPIES lists at most.
+    at = stored.select(F.col("id").alias("vec_id"), "list").join(F.broadcast(found), "vec_id") \
+        .toArrow()
+    if not at.num_rows:
+        return 1
+    turn = np.argsort(index.nearest_first(q), axis=1)            # list -> its place in the order
+    by_id = np.argsort(q_ids)
+    probe = by_id[np.searchsorted(q_ids[by_id], at.column("query_id").to_numpy())]
+    place = turn[probe, at.column("list").to_numpy()]
+    pairs = np.stack([probe, at.column("vec_id").to_numpy()])
+    _, pair = np.unique(pairs, axis=1, return_inverse=True)
+    first = np.full(pair.max() + 1, len(index.centroids))
+    np.minimum.at(first, pair.ravel(), place)
+    first.sort()
+    return int(first[math.ceil(RECALL * len(first)) - 1]) + 1
+
+
 def _distinct(ids: np.ndarray, x: np.ndarray, k: int):
     """Distinct vectors of a block, each with its smallest ids (k + 1 of them at most)."""
     order = np.unique(ids, return_index=True)[1]
@@ -232,8 +308,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     schema = "id long, v array<double>, list long"
 
     stored = tx.stored(rows.mapInArrow(_assign(shared, REPLICATE, COPIES), schema), "postings")
+    lists = lists_to_read(rows, stored, index, every, k)
     asked = tx.stored(rows.filter(F.col("id") % every == 0)
-                      .mapInArrow(_assign(shared, PRUNE, LISTS), schema), "asked")
+                      .mapInArrow(_ask(shared, lists), schema), "asked")
     # Both sides of a list are dealt in blocks by hash, and every two blocks meet.
     sizes = [side.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias(name))
              for side, name in ((stored, "blocks"), (asked, "turns"))]

@@ -36,6 +36,27 @@ def test_recall_on_the_given_vectors(spark):
         assert all(a[2] > b[2] or (a[2] == b[2] and a[1] < b[1]) for a, b in zip(found, found[1:]))
 
 
+def recall(spark, x, every=20):
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], SCHEMA)
+    got = results(ann.nearest(df))
+    want = brute(ids, x.astype(np.float64))
+    hit = sum(len({v for _, v, _ in got[q]} & {i for _, i in want[q]}) for q in want)
+    return hit / sum(map(len, want.values()))
+
+
+def directions(rows):
+    """Unit vectors without clusters: nothing lies much nearer than the rest."""
+    x = np.random.default_rng(5).normal(size=(rows, 64))
+    return (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+
+
+def test_recall_with_many_lists(spark, monkeypatch):
+    """Hundreds of lists, of which a fixed few hold too little."""
+    monkeypatch.setattr(ann, "LIST_ROWS", 5)
+    assert recall(spark, directions(5000)) >= 0.9
+
+
 def test_ties_and_long_vectors(spark):
     """Equal vectors give the smaller ids; long vectors win by inner product."""
     rows = [(k, [1.0, 0.0], 0) for k in range(300)] + [(1000, [0.0, 9.0], 0), (1001, [5.0, 0.0], 0)]
