@@ -11,8 +11,9 @@ bounded size by hash, so a list with a third of all rows is many tasks. Inside a
 vectors in matrix products of bounded size; blocks return their best ``k`` per query and those
 are merged by rank.
 
-Inner product is turned into distance by one more coordinate, sqrt(M^2 - |x|^2) with M the largest
-norm, so long vectors are found too. Scores are inner products of the original vectors in double
+Inner product is turned into distance by one more coordinate: sqrt(M^2 - |x|^2) for a stored vector,
+with M the largest norm, and 0 for a query, which is scaled to M. The squared distance is then 2M^2
+less the inner product times a constant of the query, so long vectors are found too. Scores are inner products of the original vectors in double
 precision.
 
 Defined cases: vectors that are null, of another length than most, all zero, or hold null or
@@ -102,7 +103,9 @@ class Index:
 
     def nearest_first(self, q: np.ndarray) -> np.ndarray:
         """All lists in the order in which queries read them: one row of list numbers a query."""
-        far = (self.centroids ** 2).sum(axis=1) - 2 * self.lengthen(q) @ self.centroids.T
+        scaled = q * (self.largest / np.sqrt((q ** 2).sum(axis=1)))[:, None]
+        # The further coordinate of a query is 0; its own norm adds the same to every distance.
+        far = (self.centroids ** 2).sum(axis=1) - 2 * scaled @ self.centroids[:, :-1].T
         return np.argsort(far, axis=1, kind="stable")
 
 

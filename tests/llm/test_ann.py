@@ -57,6 +57,28 @@ def test_recall_with_many_lists(spark, monkeypatch):
     assert recall(spark, directions(5000)) >= 0.9
 
 
+def test_queries_read_the_lists_of_long_vectors(spark):
+    """A short query's best inner products lie far from it, in the lists of long vectors."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(40, 64))[np.arange(4000) % 40] + 0.5 * rng.normal(size=(4000, 64))
+    x *= (rng.lognormal(0, 0.5, 4000) / np.linalg.norm(x, axis=1))[:, None]
+    index = ann.fit(ann.usable(spark.createDataFrame(
+        [(k, v.tolist(), 0) for k, v in enumerate(x)], SCHEMA)), 40_000, 64,
+        float(np.linalg.norm(x, axis=1).max()))
+    order = index.nearest_first(0.1 * x[::100])
+    owner = np.argmin((index.centroids ** 2).sum(axis=1)
+                      - 2 * index.lengthen(x) @ index.centroids.T, axis=1)
+    best = np.argsort(-x[::100] @ x.T, axis=1)[:, :20]
+    read = order[:, :len(index.centroids) // 4]
+    assert np.mean([np.isin(owner[b], r).mean() for b, r in zip(best, read)]) >= 0.97
+
+
+def test_recall_on_mixed_norms(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 10)
+    x = np.random.default_rng(7).lognormal(0, 0.5, 5000)[:, None] * directions(5000)
+    assert recall(spark, x) >= 0.9
+
+
 def test_ties_and_long_vectors(spark):
     """Equal vectors give the smaller ids; long vectors win by inner product."""
     rows = [(k, [1.0, 0.0], 0) for k in range(300)] + [(1000, [0.0, 9.0], 0), (1001, [5.0, 0.0], 0)]
