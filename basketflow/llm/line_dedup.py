@@ -6,7 +6,9 @@ with the anchor is compared with that holder only: at most one partner per ancho
 many documents share it, so a line in a third of all documents costs one pair each. Partners are
 aligned by patience diff (lines unique on both sides, longest increasing run, grown through equal
 neighbours). Aligned blocks of ``MIN_WORDS`` words or more are deleted from the later document; the
-first holder of a line never loses it.
+first holder of a line never loses it. Where shared lines stay unaligned (passages that stand twice, or in
+another order), a suffix automaton of the holder's lines finds every run of lines that it holds
+anywhere, and those are deleted by the same measure.
 
 The alignment works on line hashes; texts are touched only by the final deletion. Documents are
 ordered by (doc_id, hash of the text).
@@ -110,7 +112,7 @@ def _increasing(values: list[int]) -> list[int]:
 
 
 def repeated_lines(own: np.ndarray, count: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Positions in ``own`` that lie in long enough blocks aligned with ``other``.
+    """Positions in ``own`` that lie in long enough blocks that stand in ``other``.
 
     Both arrays leave out lines without words.
     """
@@ -125,7 +127,68 @@ def repeated_lines(own: np.ndarray, count: np.ndarray, other: np.ndarray) -> np.
         block.append(i)
     if block and count[block].sum() >= MIN_WORDS:
         drop += block
-    return np.array(drop, np.int64)
+    gone = np.zeros(len(own), bool)
+    gone[drop] = True
+    if _left_over(own, count, other, gone):
+        gone |= _held(own, count, other)
+    return np.flatnonzero(gone)
+
+
+def _left_over(own: np.ndarray, count: np.ndarray, other: np.ndarray, gone: np.ndarray) -> bool:
+    """Whether a run of lines that ``other`` has too is long enough and not all gone."""
+    shared = np.concatenate([[False], np.isin(own, other), [False]])
+    low = np.flatnonzero(shared[1:] & ~shared[:-1])
+    high = np.flatnonzero(~shared[1:] & shared[:-1])
+    words = np.concatenate([[0], np.cumsum(count)])
+    kept = np.concatenate([[0], np.cumsum(~gone)])
+    return bool(((words[high] - words[low] >= MIN_WORDS) & (kept[high] > kept[low])).any())
+
+
+def _held(own: np.ndarray, count: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Marks the lines in every long enough run of ``own`` that stands anywhere in ``other``.
+
+    For each end, a suffix automaton of ``other`` gives the longest run. Runs of lines that ``own`` does
+    not have count as one line that matches nothing.
+    """
+    shared = np.isin(other, own)
+    body = other[shared | np.concatenate([[True], shared[:-1]])].tolist()
+    steps: list[dict] = [{}]
+    link, length, last = [-1], [0], 0
+    for line in body:
+        new = len(steps)
+        steps.append({})
+        link.append(0)
+        length.append(length[last] + 1)
+        at = last
+        while at >= 0 and line not in steps[at]:
+            steps[at][line] = new
+            at = link[at]
+        if at >= 0:
+            to = steps[at][line]
+            if length[to] > length[at] + 1:
+                copy = len(steps)
+                steps.append(dict(steps[to]))
+                link.append(link[to])
+                length.append(length[at] + 1)
+                while at >= 0 and steps[at].get(line) == to:
+                    steps[at][line] = copy
+                    at = link[at]
+                link[to] = to = copy
+            link[new] = to
+        last = new
+    words = np.concatenate([[0], np.cumsum(count)]).tolist()
+    edge = np.zeros(len(own) + 1, np.int64)
+    at = run = 0
+    for end, line in enumerate(own.tolist(), 1):
+        while at and line not in steps[at]:
+            at = link[at]
+            run = length[at]
+        if line in steps[at]:
+            at, run = steps[at][line], run + 1
+        if words[end] - words[end - run] >= MIN_WORDS:
+            edge[end - run] += 1
+            edge[end] -= 1
+    return np.cumsum(edge[:-1]) > 0
 
 
 _KEY = "doc_id long, mark long"

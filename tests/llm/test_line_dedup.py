@@ -34,6 +34,30 @@ def test_repeated_passage_leaves_the_later_documents_only(make):
     assert got[5] == [f"{LONG} changed"]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=14), st.lists(st.integers(0, 3), max_size=14))
+def test_every_held_run_of_lines_is_found(own, other):
+    want = set()
+    for low in range(len(own)):
+        for high in range(low + 1, len(own) + 1):
+            if 10 * (high - low) >= line_dedup.MIN_WORDS and any(
+                    own[low:high] == other[k:k + high - low] for k in range(len(other))):
+                want.update(range(low, high))
+    got = line_dedup.repeated_lines(np.array(own, np.uint64), np.full(len(own), 10),
+                                    np.array(other, np.uint64))
+    assert got.tolist() == sorted(want)
+
+
+def test_passages_held_twice_or_in_another_order_go(make):
+    other = "\n".join(" ".join(f"q{i}x{j}" for j in range(15)) for i in range(5))
+    docs = make((1, f"a1\n{PASSAGE}\na2\n{PASSAGE}\na3\n{other}\na4"),
+                (2, f"b1\n{PASSAGE}\nb2"), (3, f"c1\n{PASSAGE}\nc2\n{PASSAGE}\nc3"),
+                (4, f"d1\n{other}\nd2\n{PASSAGE}\nd3"))
+    got = texts(docs)
+    assert got[1] == [f"a1\n{PASSAGE}\na2\n{PASSAGE}\na3\n{other}\na4"]
+    assert (got[2], got[3], got[4]) == (["b1\nb2"], ["c1\nc2\nc3"], ["d1\nd2\nd3"])
+
+
 def test_short_shared_lines_stay(make):
     docs = make((1, "Common heading line\nfirst body"), (2, "Common heading line\nsecond body"))
     assert texts(docs) == {1: ["Common heading line\nfirst body"],
