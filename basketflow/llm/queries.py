@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, language, licenses, line_dedup, lm, mixing, near_dup, quality, toxicity
+from . import (alignment, ann, bpe, language, licenses, line_dedup, lm, mixing, near_dup, quality, runs,
+               sharding, toxicity)
 from . import texts as tx
 from .shipping import ship
 
@@ -18,6 +19,9 @@ _QUERIES: dict[str, Query] = {}
 
 TOXIC_FROM = 0.7
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+SHARDS = 24
 
 
 def query(fn: Query) -> Query:
@@ -98,3 +102,18 @@ def op4_mixing(spark, sf_dir):
 @query
 def op9_license_scan(spark, sf_dir):
     return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_sharding(spark, sf_dir):
+    return sharding.digested(table(spark, sf_dir, "documents"), SHARDS)
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    return runs.reported(table(spark, sf_dir, "documents"), planted=True)
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    return alignment.aligned_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)[0]
