@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -15,16 +15,18 @@ from ..functions import text as tx
 from ..functions.metrics import (
     approx_uv, avg_order_value, cond_count, cond_distinct, cond_sum,
 )
-from ..operators import cleaning, dim_user, funnel, grain, latest, replay, retention, rfm, rollups
+from ..operators import (
+    cleaning, dim_user, funnel, grain, latest, replay, retention, rfm, rollups, sketches,
+)
 from ..operators import windows as win
 from ..schema import (
     CART, DETAIL, FUNNEL_DAILY, PURCHASE, REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL,
-    TABLES, VIEW,
+    TABLES, USER_PROFILE, VIEW,
 )
 from ..session import scratch_path, streaming_session, tune
-from ..sources import files, star
+from ..sources import files, star, versions
 from ..streaming import queries as streams
-from . import serving
+from . import daily, serving
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -646,6 +648,113 @@ def exactly_once_resume(spark, sf_dir):
     return _run_windows(spark, sf_dir, "ads_realtime_brand_stats", runs=2)
 
 
+# --- tables kept day by day --------------------------------------------------------------
+
+LAST_DAYS = 3
+
+
+def _kept(events: DataFrame, update: Callable) -> str:
+    """A table built from all but the last days at once, and brought up to date day by day."""
+    out = scratch_path(events.sparkSession, "kept")
+    newest = events.agg(F.max("event_date").alias("d")).first().d
+    days = [newest - timedelta(days=k) for k in reversed(range(LAST_DAYS))]
+    update(cleaning.filter_date_range(events, None, days[0] - timedelta(days=1)), out, None)
+    for day in days:
+        update(cleaning.filter_date_range(events, day, day), out, day)
+    return out
+
+
+@query()
+def retention_incremental(events):
+    """The cohort matrix from kept activity masks; new days are merged in one at a time."""
+    out = _kept(events, lambda days, path, start: daily.update_retention(days, path))
+    return daily.retention(events.sparkSession, out)
+
+
+@query()
+def active_user_incremental(events):
+    """The active-user table with first days from a kept table; detail of new days only."""
+    out = _kept(events, daily.update_active_users)
+    return daily.active_users(events.sparkSession, out)
+
+
+def _stored_sketches(events: DataFrame) -> DataFrame:
+    out = _kept(events, lambda days, path, start: daily.update_sketches(days, path))
+    return daily.sketches(events.sparkSession, out)
+
+
+@query()
+def uv_range_sketch(events):
+    """Distinct users of a range of days from the stored sketches alone, beside the exact counts."""
+    merged = sketches.uv_range(_stored_sketches(events), "brand", start=RANGE[0], end=RANGE[1])
+    names = ["uv", "view_uv", "buyer_uv", "viewer_buyer_uv"]
+    merged = merged.select("brand", *[F.col(n).alias(f"approx_{n}") for n in names])
+    users = grain.per_user(cleaning.filter_date_range(events, *RANGE), "brand")
+    viewed, bought = F.col("view_cnt") > 0, F.col("purchase_cnt") > 0
+    exact = users.groupBy("brand").agg(
+        F.count(F.lit(1)).alias("uv"), F.count_if(viewed).alias("view_uv"),
+        F.count_if(bought).alias("buyer_uv"), F.count_if(viewed & bought).alias("viewer_buyer_uv"))
+    # The error of an intersection goes with the size of the union.
+    near = [F.abs(F.col(f"approx_{n}") - F.col(n)) <= F.col("uv") * SKETCH_BOUND + 1 for n in names]
+    return exact.join(merged, "brand").select(
+        "brand", *names, (near[0] & near[1] & near[2] & near[3]).alias("approx_within_bound"))
+
+
+@query()
+def uv_total_sketch(events):
+    """The same over all brands: users of several brands count once."""
+    merged = sketches.uv_range(_stored_sketches(events), start=RANGE[0], end=RANGE[1])
+    exact = cleaning.filter_date_range(events, *RANGE).agg(F.count_distinct("user_id")).scalar()
+    return merged.withColumn("exact", exact).select(
+        F.col("exact").alias("uv"), _within("uv", "exact").alias("approx_within_bound"))
+
+
+@query()
+def price_points_sketch(events):
+    """Price quantiles of a range of days from stored sketches: is their rank close to the asked?"""
+    points = sketches.price_points(_stored_sketches(events), "brand", start=RANGE[0], end=RANGE[1])
+    paid = cleaning.filter_date_range(events, *RANGE).filter(F.col("event_type") == PURCHASE)
+    ranked = paid.join(points, "brand").groupBy("brand").agg(
+        F.count(F.lit(1)).alias("n"), F.max("purchases").alias("purchases"),
+        *[f(F.col("price"), F.col("prices")[i]).alias(f"{k}{i}")
+          for i in range(len(sketches.PRICE_POINTS))
+          for k, f in (("below", lambda p, q: F.count_if(p < q)),
+                       ("upto", lambda p, q: F.count_if(p <= q)))])
+    close = F.lit(True)
+    for i, p in enumerate(sketches.PRICE_POINTS):
+        close = close & (F.col(f"below{i}") <= F.col("n") * (p + 0.02) + 1) \
+            & (F.col(f"upto{i}") >= F.col("n") * (p - 0.02) - 1)
+    return ranked.select("brand", "purchases", close.alias("ranks_within_bound"))
+
+
+@query()
+def win_hour_rolled(events):
+    """Hour windows from stored minute windows, viewers from their sketches."""
+    minutes = sketches.window_sketches(events, "60 seconds", "brand")
+    path = scratch_path(events.sparkSession, "minutes")
+    minutes.write.parquet(path)
+    stored = events.sparkSession.read.schema(minutes.schema).parquet(path)
+    hours = sketches.wider_windows(stored, "3600 seconds", "brand") \
+        .withColumnRenamed("uv", "approx_uv")
+    exact = win.brand_windows(events, "3600 seconds").select("window_start", "brand", "uv")
+    return hours.join(exact, ["window_start", "brand"]).select(
+        "window_start", "window_end", "brand", "pv", "uv", "purchase_cnt", "gmv",
+        _within("approx_uv", "uv").alias("approx_within_bound"))
+
+
+@query(star.behavior_li)
+def profiles_by_key(events):
+    """A table replaced by key: all users, then another version of some of them."""
+    spark = events.sparkSession
+    path = scratch_path(spark, "by-key")
+    profiles = USER_PROFILE.conform(scored_segments(events).withColumns({
+        "segment": F.lit(""), "computed_at": F.lit(ANCHOR).cast("timestamp")}))
+    versions.replace_keys(profiles, path, USER_PROFILE)
+    changed = versions.read_keys(spark, path, USER_PROFILE).filter(F.col("user_id") % 7 == 0)
+    versions.replace_keys(changed.withColumn("segment", F.lit("again")), path, USER_PROFILE)
+    return versions.read_keys(spark, path, USER_PROFILE)
+
+
 # --- synthetic users ---------------------------------------------------------------------
 
 @query(star.behavior_li)
@@ -761,6 +870,45 @@ def day1_retention(events):
     return serving.day1_retention(serving.retention(retention.retention_matrix(events)))
 
 
+def _newest_of(windows: Callable, table) -> Callable[[DataFrame, int], DataFrame]:
+    """Windows stored in day folders, then only the newest days read."""
+    def read(events: DataFrame, rows: int) -> DataFrame:
+        path = scratch_path(events.sparkSession, "windows")
+        files.append_version(windows(events), path, 0)
+        return files.read_newest(events.sparkSession, path, table, rows)
+    return read
+
+
+_global_newest = _newest_of(win.global_windows, REALTIME_GLOBAL)
+_category_newest = _newest_of(win.category_windows, REALTIME_CATEGORY)
+_brand_newest = _newest_of(win.brand_windows, REALTIME_BRAND)
+
+
+@query()
+def overview_stored(events):
+    return serving.overview(_global_newest(events, 30))
+
+
+@query()
+def category_stats_stored(events):
+    return serving.category_stats(_category_newest(events, 20))
+
+
+@query()
+def brand_stats_stored(events):
+    return serving.brand_stats(_brand_newest(events, 20))
+
+
+@query()
+def latest_kpi_stored(events):
+    return serving.latest_kpi(_global_newest(events, 1))
+
+
+@query()
+def pv_trend_stored(events):
+    return serving.pv_trend(_global_newest(events, serving.TREND_WINDOWS))
+
+
 @query()
 def latest_kpi(events):
     return serving.latest_kpi(win.global_windows(events))

@@ -421,6 +421,29 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'ads_realtime_category_stats', count(*) FROM categories WHERE {CLOSED}
             UNION ALL SELECT 'ads_realtime_brand_stats', count(*) FROM brands WHERE {CLOSED}
             UNION ALL SELECT 'dwd_user_behavior', count(*) FROM behavior""",
+        # tables kept day by day
+        "retention_incremental": f"{b}, {RETENTION} SELECT * FROM matrix",
+        "active_user_incremental": f"{b}, {USER_DAYS}, {COHORTS} {ACTIVE}",
+        "uv_range_sketch": f"""{b} SELECT brand, CAST(count(*) AS BIGINT) AS uv,
+              CAST(count(*) FILTER (v > 0) AS BIGINT) AS view_uv,
+              CAST(count(*) FILTER (p > 0) AS BIGINT) AS buyer_uv,
+              CAST(count(*) FILTER (v > 0 AND p > 0) AS BIGINT) AS viewer_buyer_uv,
+              true AS approx_within_bound
+            FROM (SELECT brand, user_id, count(*) FILTER (event_type = 'view') AS v,
+                    count(*) FILTER (event_type = 'purchase') AS p
+                  FROM behavior WHERE {in_range} GROUP BY ALL) GROUP BY brand""",
+        "uv_total_sketch": f"""{b} SELECT CAST(count(DISTINCT user_id) AS BIGINT) AS uv,
+            true AS approx_within_bound FROM behavior WHERE {in_range}""",
+        "price_points_sketch": f"""{b} SELECT brand, CAST(count(*) AS BIGINT) AS purchases,
+            true AS ranks_within_bound FROM behavior
+            WHERE {in_range} AND event_type = 'purchase' GROUP BY brand""",
+        "win_hour_rolled": f"""{b}, {_windows(3600, 'brand')}
+            SELECT *, true AS approx_within_bound FROM windows""",
+        "profiles_by_key": f"""{li}, {RFM}, {SCORES} SELECT *,
+            CAST(CASE WHEN m_score = 5 THEN 0 WHEN m_score >= 4 THEN 1 WHEN m_score >= 2 THEN 2
+              ELSE 3 END AS INTEGER) AS cluster_id,
+            CASE WHEN user_id % 7 = 0 THEN 'again' ELSE '' END AS segment,
+            TIMESTAMP '{ANCHOR}' AS computed_at FROM scores""",
         # synthetic users
         "salted_buckets": f"{li}, {BUCKETS} SELECT * FROM buckets",
         "dim_user": f"{li}, {BUCKETS}, {DIM} SELECT * FROM dim",
@@ -478,6 +501,8 @@ def oracle_sql() -> dict[str, str]:
     sql["product_ranking_from_items"] = sql["product_ranking_li"]
     sql["stream_compacted"] = sql["stream_brand"]
     sql["windows_backfill"] = sql["win_brand"]
+    for name in ("overview", "category_stats", "brand_stats", "latest_kpi", "pv_trend"):
+        sql[f"{name}_stored"] = sql[name]
     sql["user_segments"] = sql["segment_summary"]
     sql["user_segments_summary"] = sql["segment_totals"]
     return sql

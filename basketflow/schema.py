@@ -131,6 +131,19 @@ RETENTION_DAILY = Table(
     ("cohort_date", "day_offset"),
 )
 
+# Kept state of daily increments.
+FIRST_SEEN = Table("ads_first_seen", "user_id bigint, first_day date", ("user_id",))
+
+USER_ACTIVITY = Table(
+    "ads_user_activity", "user_id bigint, cohort_date date, mask bigint", ("user_id",))
+
+# Sketches of a day, merged over any range of days.
+BRAND_SKETCHES = Table(
+    "ads_brand_sketches",
+    "event_date date, brand string, users binary, viewers binary, buyers binary, prices binary",
+    ("event_date", "brand"),
+)
+
 DIM_USER = Table(
     "dim_user_synthetic",
     "user_id bigint, device string, os string, browser string, country string, "
@@ -143,6 +156,6 @@ TABLES = {
     for t in (
         RAW, DETAIL, FUNNEL_DAILY, ITEM_STATS, CATEGORY_STATS, BRAND_STATS,
         ACTIVE_USER_DAILY, REALTIME_GLOBAL, REALTIME_CATEGORY, REALTIME_BRAND,
-        USER_PROFILE, RETENTION_DAILY, DIM_USER,
+        USER_PROFILE, RETENTION_DAILY, DIM_USER, FIRST_SEEN, USER_ACTIVITY, BRAND_SKETCHES,
     )
 }

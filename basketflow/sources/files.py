@@ -161,8 +161,13 @@ def append_version(rows: DataFrame, path: str, batch: int, generation: int = 0,
      .option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path))
 
 
-def _stored(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    return spark.read.schema(f"{table.ddl}, {LAYOUT_DDL}").parquet(path)
+def _stored(spark: SparkSession, path: str, table: Table,
+            days: list[str] | None = None) -> DataFrame:
+    """What is stored; with ``days`` other day folders are not even listed."""
+    reader = spark.read.schema(f"{table.ddl}, {LAYOUT_DDL}")
+    if days is None:
+        return reader.parquet(path)
+    return reader.option("basePath", path).parquet(*[f"{path}/{DAY}={day}" for day in days])
 
 
 def read_latest(spark: SparkSession, path: str, table: Table, start=None, end=None) -> DataFrame:
@@ -175,6 +180,33 @@ def read_latest(spark: SparkSession, path: str, table: Table, start=None, end=No
     return table.conform(latest_by_key(rows, table.key, VERSION))
 
 
+def _days(spark: SparkSession, path: str) -> list[str]:
+    """Days that have a folder, newest first. Only the top level is listed."""
+    system, target = file_system(spark, path)
+    names = [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+    return sorted((n.partition("=")[2] for n in names if n.startswith(f"{DAY}=")), reverse=True)
+
+
+def read_newest(spark: SparkSession, path: str, table: Table, rows: int) -> DataFrame:
+    """The last written row per key of the newest days, as many as hold ``rows`` rows for sure.
+
+    Day folders are walked from the newest backwards, one, then two, then four at a time. What was
+    walked is counted after replaced versions are gone, so that a day rewritten many times does not
+    pass for a full one. The newest rows of the table are all in what is returned, because a row
+    lies in the folder of its own day; older days are neither read nor listed below their name.
+    """
+    days = _days(spark, path.rstrip("/"))
+    taken, step, found = 0, 1, 0
+    while taken < len(days) and found < rows:
+        part = days[taken:taken + step]
+        found += latest_by_key(_stored(spark, path, table, part), table.key, VERSION).count()
+        taken, step = taken + len(part), 2 * step
+    if not taken:
+        return spark.createDataFrame([], table.schema)
+    return table.conform(latest_by_key(
+        _stored(spark, path, table, days[:taken]), table.key, VERSION))
+
+
 def _folders(spark: SparkSession, path: str) -> list[tuple[str, tuple[int, int, int], str]]:
     """(day, version, folder) of everything stored: folder names only, no data is read."""
     system, target = file_system(spark, path)
