@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import GMV_TYPE
-from ..session import checkpoint_root
 
 QUINTILES = ("0.2", "0.4", "0.6", "0.8")
 
@@ -25,54 +25,98 @@ def approx_quantiles(rows: DataFrame, columns: list[str], relative_error: float
         F.percentile_approx(F.col(c).cast(GMV_TYPE), wanted, accuracy).alias(c) for c in columns])
 
 
-# Amounts as unsigned cents, examined this many bits at a time from the top. Fixed by GMV_TYPE.
-_OFFSET = 1 << 60
-_SHIFTS = (46, 30, 15, 0)
+SKETCH = 2000       # size of the quantile sketches: about 15 KB each
+MARGIN = 0.01       # four times their rank error at 99 % confidence
+CELLS = 16_384      # an interval is counted in so many cells at most
 
 
 def exact_quantiles(rows: DataFrame, columns: list[str],
                     probs: tuple[str, ...] = QUINTILES) -> DataFrame:
     """The same row with exact discrete quantiles: the smallest value whose share reaches p.
 
-    Values are counted first, so a value shared by a third of the rows is one row. The rank of
-    each quantile is then followed down the digits of the value, 16 bits at most at a time: a
-    step counts rows per next digit below the digits found so far, and a running total over
-    those (65,536 at most, however the values are spread) gives the digit that holds the rank.
-    The counts are checkpointed, because every step reads them.
+    One pass sketches every column, which brackets each quantile between two values. The next counts
+    rows: exactly in the cells of a bracket, and in one sum each before, between and after them.
+    Running totals over the cells tell which cell holds the rank. A bracket of up to ``CELLS``
+    different cents is settled by that pass, a wider one by another inside the cell found. Should a
+    sketch have missed, the rank lies in one of the sums, and that stretch is the next bracket: the
+    result never rests on the sketch. Shuffles and running totals are bounded by the cells; a few
+    numbers per column and quantile come to the driver.
+
+    ``rows`` are read in every pass, so pin them if they are dear to make.
     """
-    checkpoint_root(rows.sparkSession)
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast(GMV_TYPE).alias("value"))
-        for c in columns])
-    unsigned = (F.col("value") * 100).cast("bigint") + F.lit(_OFFSET)
-    counted = (rows.select(F.inline(pairs)).filter(F.col("value").isNotNull())
-               .groupBy("metric", unsigned.alias("code")).agg(F.count(F.lit(1)).alias("n"))
-               .checkpoint())
-    wanted = F.array(*[F.lit(Decimal(p)).cast("decimal(5,4)") for p in probs])
-    rank = F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total")))
-    found = (counted.groupBy("metric").agg(F.sum("n").alias("total"))
-             .withColumn("p", F.explode(wanted))
-             .select("metric", "p", rank.alias("rank"), F.lit(0).cast("bigint").alias("before"),
-                     F.lit(0).cast("bigint").alias("head")))
-    above = 62
-    for shift in _SHIFTS:
-        digit = F.shiftright("code", shift)
-        running = Window.partitionBy("metric", "p").orderBy("head") \
-            .rowsBetween(Window.unboundedPreceding, 0)
-        # One row per column and probability, hence safe to broadcast.
-        below = (counted.withColumn("head", F.shiftright("code", above))
-                 .join(F.broadcast(found), ["metric", "head"])
-                 .groupBy("metric", "p", "rank", "before", digit.alias("head"))
-                 .agg(F.sum("n").alias("n"))
-                 .withColumn("upto", F.col("before") + F.sum("n").over(running)))
-        found = (below.filter((F.col("upto") >= F.col("rank"))
-                              & (F.col("upto") - F.col("n") < F.col("rank")))
-                 .select("metric", "p", "rank", (F.col("upto") - F.col("n")).alias("before"),
-                         "head"))
-        above = shift
-    value = ((F.col("head") - F.lit(_OFFSET)).cast("decimal(20,0)") * F.lit(Decimal("0.01"))) \
-        .cast(GMV_TYPE)
-    cuts = {c: F.sort_array(F.collect_list(
-        F.when(F.col("metric") == c, F.struct("p", value.alias("value")))))["value"]
-        for c in columns}
-    return found.agg(*[cut.alias(c) for c, cut in cuts.items()])
+    codes = {c: (F.col(c).cast(GMV_TYPE) * 100).cast("bigint") for c in columns}
+    share = [Decimal(p) for p in probs]
+    sketched = rows.select(*[code.alias(c) for c, code in codes.items()]).agg(*[
+        f for c in columns for f in (
+            F.count(c).alias(f"{c}_n"), F.min(c).alias(f"{c}_low"), F.max(c).alias(f"{c}_high"),
+            F.kll_sketch_agg_bigint(c, SKETCH).alias(f"{c}_sketch"))])
+    sides = [F.lit(min(max(float(p) + side, 0.0), 1.0)) for p in share for side in (-MARGIN, MARGIN)]
+    row = sketched.select(
+        *[f"{c}_{x}" for c in columns for x in ("n", "low", "high")],
+        *[F.when(F.col(f"{c}_n") > 0, F.array(*[
+            F.kll_sketch_get_quantile_bigint(f"{c}_sketch", p) for p in sides])).alias(c)
+          for c in columns]).first()
+    filled = [c for c in columns if row[f"{c}_n"]]
+    ends = {c: (row[f"{c}_low"], row[f"{c}_high"]) for c in filled}
+    ranks = {c: [max(1, math.ceil(p * row[f"{c}_n"])) for p in share] for c in filled}
+    held = {c: list(zip(row[c][::2], row[c][1::2])) for c in filled}
+    unsettled = filled                  # brackets of one value are counted too before they are believed
+    while unsettled:
+        pieces = {c: _pieces(held[c], *ends[c]) for c in unsettled}
+        held |= _cells_of_ranks(rows, codes, pieces, ranks)
+        unsettled = [c for c in unsettled if any(a < b for a, b in held[c])]
+    cuts = {c: [Decimal(a).scaleb(-2) for a, _ in held[c]] if c in held else [None] * len(share)
+            for c in columns}
+    return rows.sparkSession.range(1).select(*[
+        F.array(*[F.lit(v).cast(GMV_TYPE) for v in cuts[c]]).alias(c) for c in columns])
+
+
+def _pieces(held: list[tuple[int, int]], low: int, high: int) -> list[tuple[int, int, int]]:
+    """All values from low to high as (first, last, width of a cell): brackets in cells, each gap
+    between them as one."""
+    pieces, at = [], low
+    for a, b in sorted(set(held)):
+        a = max(a, at)
+        if a > b:
+            continue
+        if at < a:
+            pieces.append((at, a - 1, a - at))
+        pieces.append((a, b, -(-(b - a + 1) // CELLS)))
+        at = b + 1
+    if at <= high:
+        pieces.append((at, high, high - at + 1))
+    return pieces
+
+
+def _cells_of_ranks(rows: DataFrame, codes: dict[str, Column], pieces: dict, ranks: dict
+                    ) -> dict[str, list[tuple[int, int]]]:
+    """One pass: for each column the cell (first, last value) that holds each of its ranks."""
+    def cell(c: str) -> Column:
+        code = codes[c]
+        first = [code - F.pmod(code - F.lit(a), F.lit(width)) for a, _, width in pieces[c]]
+        chosen = first[0]
+        for (a, _, _), value in zip(pieces[c][1:], first[1:]):
+            chosen = F.when(code >= a, value).otherwise(chosen)
+        return chosen
+
+    keyed = rows.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("metric"), cell(c).alias("cell")) for c in pieces])))
+    counted = keyed.filter("cell IS NOT NULL").groupBy("metric", "cell").agg(
+        F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy("metric").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    totals = counted.withColumn("upto", F.sum("n").over(running))
+    wanted = F.lit(False)
+    for c in pieces:
+        for r in ranks[c]:
+            wanted = wanted | ((F.col("metric") == c) & (F.col("upto") >= r)
+                               & (F.col("upto") - F.col("n") < r))
+    hits = totals.filter(wanted).collect()      # one row per column and quantile at most
+    out = {}
+    for c in pieces:
+        out[c] = []
+        for r in ranks[c]:
+            first = next(h.cell for h in hits
+                         if h.metric == c and h.upto - h.n < r <= h.upto)
+            last, width = next((b, w) for a, b, w in pieces[c] if a <= first <= b)
+            out[c].append((first, min(first + width - 1, last)))
+    return out

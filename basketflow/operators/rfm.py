@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,10 +9,14 @@ from pyspark.sql import functions as F
 from ..functions.metrics import as_gmv, cond_sum
 from ..schema import PURCHASE, USER_PROFILE
 from ..session import checkpoint_root
+from .clusters import Clusters, fit_clusters
 from .quantiles import approx_quantiles, exact_quantiles
 
 RFM_COLUMNS = ["recency_days", "frequency", "monetary"]
 FEATURE_COLUMNS = ["recency_days", "log_f", "log_m"]
+# The same features as SQL, for a model that is kept. Frequency and money are long-tailed.
+FEATURES = ["CAST(recency_days AS DOUBLE)", "log1p(CAST(frequency AS DOUBLE))",
+            "log1p(CAST(monetary AS DOUBLE))"]
 
 # Segment names by rank, best first. Fixed values.
 SEGMENT_NAMES = ("高价值客户", "潜力客户", "一般保持", "流失风险")
@@ -22,9 +24,6 @@ HIGH_VALUE = SEGMENT_NAMES[0]
 
 CLUSTERS = 4
 SEED = 42
-# Partitions of the pinned users. k-means draws its starting centres per partition, so this number
-# is part of the result: the same on every cluster, whatever its shuffle setting.
-LAYOUT_PARTITIONS = 32
 
 
 def ref_date(events: DataFrame) -> DataFrame:
@@ -106,21 +105,19 @@ def feature_stages() -> list:
     ]
 
 
-def rfm_kmeans(featured: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> PipelineModel:
-    kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id")
-    return Pipeline(stages=[*feature_stages(), kmeans]).fit(featured)
+def rfm_kmeans(users: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> Clusters:
+    return fit_clusters(users, FEATURES, "user_id", k, seed)
 
 
-def pin_layout(users: DataFrame, partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
-    """Fix which rows sit in which partition and in which order, then cut the lineage.
+def pinned(users: DataFrame) -> DataFrame:
+    """Users written once to the checkpoint folder.
 
-    k-means samples its starting centres per partition, so a seed alone does not repeat. The
-    reliable checkpoint also spares the quantiles, the scaler, each k-means iteration and the
-    final write from recomputing the per-user aggregate, and survives a lost executor.
+    Spares quantiles, scaling, each k-means round and the final write from making the per-user
+    aggregate again, and survives a lost executor. The layout is Spark's own choice: nothing that
+    follows depends on it.
     """
     checkpoint_root(users.sparkSession)
-    return (users.repartition(partitions, "user_id")
-            .sortWithinPartitions("user_id").checkpoint(eager=True))
+    return users.checkpoint(eager=True)
 
 
 def cluster_stats(clustered: DataFrame) -> DataFrame:
@@ -147,21 +144,25 @@ def attach_segments(clustered: DataFrame, stats: DataFrame | None = None) -> Dat
     return clustered.join(F.broadcast(names), "cluster_id")
 
 
+def named_clusters(model: Clusters, users: DataFrame) -> list[str]:
+    """The clusters' segment names by cluster number, for a model that is kept."""
+    names = {r.cluster_id: r.segment
+             for r in segment_names(cluster_stats(model.clustered(users))).collect()}
+    return [names.get(i, SEGMENT_NAMES[-1]) for i in range(len(model.centres))]
+
+
 def user_profile(events: DataFrame, computed_at: Column | None = None,
                  relative_error: float = 0.01, k: int = CLUSTERS, seed: int = SEED,
-                 partitions: int = LAYOUT_PARTITIONS, distinct_cuts: bool = False) -> DataFrame:
-    """The whole customer segmentation. ``partitions`` pins the layout k-means starts from.
+                 distinct_cuts: bool = False) -> DataFrame:
+    """The whole customer segmentation.
 
     Events are read once: users are pinned with their last day, and the reference date is the
     newest of those.
     """
-    pinned = pin_layout(last_days(events), partitions)
-    today = pinned.agg(F.max("last_date").alias("ref_date")).scalar()
-    users = recency(pinned, today)
-    featured = rfm_features(
-        rfm_scores(users, rfm_quantiles(users, relative_error), distinct_cuts))
-    clustered = rfm_kmeans(rfm_features(users), k, seed).transform(featured)
-    stamped = attach_segments(clustered).withColumn(
+    kept = pinned(last_days(events))
+    users = recency(kept, kept.agg(F.max("last_date").alias("ref_date")).scalar())
+    scored = rfm_scores(users, rfm_quantiles(users, relative_error), distinct_cuts)
+    stamped = attach_segments(rfm_kmeans(users, k, seed).clustered(scored)).withColumn(
         "computed_at", F.current_timestamp() if computed_at is None else computed_at)
     return USER_PROFILE.conform(stamped)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from ..operators import (
     cleaning, dim_user, funnel, grain, latest, replay, retention, rfm, rollups, sketches,
 )
 from ..operators import windows as win
+from ..operators.clusters import Clusters
 from ..schema import (
     CART, DETAIL, FUNNEL_DAILY, PURCHASE, REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL,
     TABLES, USER_PROFILE, VIEW,
@@ -284,7 +285,7 @@ def rfm_base(events):
 
 @query(star.behavior_li)
 def rfm_quantiles(events):
-    cuts = rfm.rfm_quantiles(rfm.rfm_base(events), relative_error=0)
+    cuts = rfm.rfm_quantiles(rfm.pinned(rfm.rfm_base(events)), relative_error=0)
     rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("cuts"))
                      for c in rfm.RFM_COLUMNS])
     flat = cuts.select(F.inline(rows))
@@ -292,7 +293,7 @@ def rfm_quantiles(events):
 
 
 def exact_scores(events: DataFrame) -> DataFrame:
-    users = rfm.rfm_base(events)
+    users = rfm.pinned(rfm.rfm_base(events))
     return rfm.rfm_scores(users, rfm.rfm_quantiles(users, relative_error=0))
 
 
@@ -391,19 +392,17 @@ def rfm_features(events):
         *[F.round(z[i], 5).alias(n) for i, n in enumerate(("z_recency", "z_log_f", "z_log_m"))])
 
 
-def _clustered(events: DataFrame) -> tuple[DataFrame, list[list[float]]]:
-    users = rfm.rfm_features(rfm.pin_layout(rfm.rfm_base(events)))
+def _clustered(events: DataFrame) -> tuple[DataFrame, Clusters]:
+    users = rfm.pinned(rfm.rfm_base(events))
     model = rfm.rfm_kmeans(users)
-    return model.transform(users), [c.tolist() for c in model.stages[-1].clusterCenters()]
+    return model.clustered(users), model
 
 
 @query(star.behavior_li)
 def rfm_kmeans(events):
     """What must hold of any k-means result: each user's own centre is the nearest one."""
-    clustered, centres = _clustered(events)
-    z = vector_to_array("features")
-    far = [sum(((z[i] - F.lit(c)) * (z[i] - F.lit(c)) for i, c in enumerate(centre)), F.lit(0.0))
-           for centre in centres]
+    clustered, model = _clustered(events)
+    far = [F.expr(d) for d in model.distances()]
     own = F.element_at(F.array(*far), F.col("cluster_id") + 1)
     return clustered.select("user_id", (own <= F.least(*far) + 1e-9).alias("own_centre_nearest"))
 
@@ -411,11 +410,11 @@ def rfm_kmeans(events):
 @query(star.behavior_li)
 def cluster_stats(events):
     """Cluster sizes and averages weighted by them add up to the averages over all users."""
-    clustered, centres = _clustered(events)
+    clustered, model = _clustered(events)
     stats = rfm.cluster_stats(clustered)
     total = F.sum("cnt")
     return stats.agg(
-        (F.count(F.lit(1)) == len(centres)).alias("every_cluster_used"), total.alias("users"),
+        (F.count(F.lit(1)) == len(model.centres)).alias("every_cluster_used"), total.alias("users"),
         *[F.round(F.sum(F.col(c) * F.col("cnt")) / total, 4).alias(c)
           for c in ("avg_r", "avg_f", "avg_m")])
 
@@ -436,6 +435,24 @@ def user_profile(events):
     return profiles.join(names, "cluster_id").drop("cluster_id", "segment")
 
 
+@query(star.behavior_li)
+def profile_from_saved_model(events):
+    """Clusters learned from earlier users, saved, loaded and applied to all users."""
+    spark = events.sparkSession
+    users = rfm.pinned(rfm.rfm_base(events))
+    earlier = users.filter(F.col("user_id") % 2 == 0)
+    model = rfm.rfm_kmeans(earlier)
+    names = rfm.named_clusters(model, earlier)
+    path = scratch_path(spark, "segments")
+    model.pipeline(names).save(path)
+    scored = PipelineModel.load(path).transform(users)
+    fresh = F.element_at(F.array(*[F.lit(n) for n in names]), F.expr(model.nearest()) + 1)
+    return scored.select(
+        "user_id", "recency_days", "frequency", "monetary",
+        ((F.col("cluster_id") == F.expr(model.nearest())) & (F.col("segment") == fresh))
+        .alias("as_the_model_says"))
+
+
 def _segmented(events: DataFrame) -> DataFrame:
     return rfm.attach_segments(scored_segments(events))
 

@@ -363,6 +363,8 @@ def oracle_sql() -> dict[str, str]:
             FROM rfm""",
         "user_profile": f"""{li}, {RFM}, {SCORES} SELECT *,
             TIMESTAMP '{ANCHOR}' AS computed_at, true AS one_name FROM scores""",
+        "profile_from_saved_model": f"""{li}, {RFM} SELECT user_id, recency_days, frequency, monetary,
+            true AS as_the_model_says FROM rfm""",
         "rfm_features": f"""{li}, {RFM}, f AS (SELECT user_id, recency_days AS r,
               ln(1 + CAST(frequency AS DOUBLE)) AS lf, ln(1 + CAST(monetary AS DOUBLE)) AS lm
               FROM rfm)

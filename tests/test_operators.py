@@ -3,13 +3,16 @@ import collections
 import datetime as dt
 import math
 import random
+import statistics
 from decimal import Decimal
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from basketflow.functions.metrics import approx_uv
-from basketflow.operators import replay, retention, rfm
+from basketflow.operators import quantiles, replay, retention, rfm
+from basketflow.operators.clusters import fit_clusters
 from basketflow.operators.dim_user import contradictions, dim_user
 from basketflow.operators.funnel import funnel_daily, funnel_stages
 from basketflow.operators.latest import latest_by_key
@@ -93,6 +96,26 @@ def test_exact_quantiles_against_sorting(spark):
         assert [Decimal(x) for x in got[name]] == [Decimal(x) for x in want]
 
 
+@pytest.mark.parametrize("cells,margin", [(16_384, 0.01), (4, 0.01), (3, 0.0), (16, -0.2)])
+def test_exact_quantiles_need_no_luck(spark, monkeypatch, cells, margin):
+    """Few cells ask for many passes; brackets that are too narrow or reversed must be recovered from."""
+    monkeypatch.setattr(quantiles, "CELLS", cells)
+    monkeypatch.setattr(quantiles, "MARGIN", margin)
+    rng = random.Random(cells)
+    a = [Decimal(int(rng.lognormvariate(5, 3))) / 100 for _ in range(2000)]
+    b = [Decimal(rng.choice([5, 5, 5, 5, 7, -10**15, 10**15])) / 100 for _ in range(2000)]
+    frame = spark.createDataFrame(list(zip(a, b, [None] * 2000)), "a decimal(18,2), b decimal(18,2), "
+                                  "c decimal(18,2)").repartition(3)
+    got = exact_quantiles(frame, ["a", "b", "c"]).first()
+    for name, column in (("a", a), ("b", b)):
+        assert got[name] == [sorted(column)[math.ceil(p * 2000 / 100) - 1] for p in (20, 40, 60, 80)]
+    assert got.c == [None] * 4
+
+
+def test_exact_quantiles_without_rows(spark):
+    assert exact_quantiles(spark.createDataFrame([], "a int"), ["a"]).first().a == [None] * 4
+
+
 def test_approximate_quantiles_stay_within_their_rank_error(spark):
     frame = spark.range(20_000).selectExpr("pmod(xxhash64(id), 1000003) AS a").repartition(6)
     ordered = sorted(r.a for r in frame.collect())
@@ -115,7 +138,7 @@ def test_tied_cuts_give_everyone_the_top_score_unless_strict(spark):
 def profiles(spark, sf_dir):
     frame = behavior_li(spark, sf_dir)
     stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    return [rfm.user_profile(source, computed_at=stamp, partitions=4).collect()
+    return [rfm.user_profile(source, computed_at=stamp).collect()
             for source in (frame, frame.repartition(7))]
 
 
@@ -146,12 +169,47 @@ def test_segments_are_named_best_first(profiles):
 
 
 def test_clusters_are_nearest_centres(spark, sf_dir):
-    users = rfm.rfm_features(rfm.pin_layout(rfm.rfm_base(behavior_li(spark, sf_dir)), 4))
+    users = rfm.pinned(rfm.rfm_base(behavior_li(spark, sf_dir)))
     model = rfm.rfm_kmeans(users)
-    centres = model.stages[-1].clusterCenters()
-    for r in model.transform(users).select("features", "cluster_id").collect():
-        distances = [sum((a - b) ** 2 for a, b in zip(r.features, c)) for c in centres]
+    z = model.clustered(users).selectExpr(*[f"{s} / 1000000 AS z{i}"
+                                            for i, s in enumerate(model.scaled())], "cluster_id")
+    groups = collections.defaultdict(list)
+    for r in z.collect():
+        distances = [sum((a - b) ** 2 for a, b in zip(r, c)) for c in model.centres]
         assert min(distances) == pytest.approx(distances[r.cluster_id])
+        groups[r.cluster_id].append(r[:3])
+    assert len(groups) == len(model.centres) == 4
+    for cluster, rows in groups.items():        # rounds went on until centres were means
+        for mean, c in zip(map(statistics.fmean, zip(*rows)), model.centres[cluster]):
+            assert mean == pytest.approx(c, abs=0.05)
+
+
+def test_clusters_are_the_same_under_any_layout(spark, sf_dir):
+    users = rfm.rfm_base(behavior_li(spark, sf_dir)).persist()
+    models = [rfm.rfm_kmeans(users.repartition(n, "user_id")) for n in (1, 32, 200)]
+    assert models[0] == models[1] == models[2]
+    assert rfm.rfm_kmeans(users, seed=7) != models[0]
+
+
+def test_clusters_of_few_equal_or_no_rows(spark):
+    def of(*values):
+        frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, x double")
+        return fit_clusters(frame, ["x", "5.0D"], "id", 3)
+    assert of().centres == ()
+    assert of(2.0, 2.0).centres == ((0.0, 0.0),)
+    assert len(of(1.0, 1.0, 9.0).centres) == 2
+    far = of(*[0.0] * 50, *[10.0] * 50, *[30.0] * 50)
+    assert sorted(round(c[0], 3) for c in far.centres) == pytest.approx([-1.067, -0.267, 1.334], abs=0.01)
+
+
+def test_a_saved_model_scores_like_the_one_in_memory(spark, sf_dir, tmp_path):
+    users = rfm.rfm_base(behavior_li(spark, sf_dir))
+    model = rfm.rfm_kmeans(users)
+    names = rfm.named_clusters(model, users)
+    model.pipeline(names).save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model")).transform(users)
+    want = {r.user_id: (r.cluster_id, names[r.cluster_id]) for r in model.clustered(users).collect()}
+    assert {r.user_id: (r.cluster_id, r.segment) for r in loaded.collect()} == want
 
 
 def test_high_value_share_falls_back_to_the_first_segment(spark):
