@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import as_gmv, cond_sum
 from ..schema import PURCHASE, USER_PROFILE
-from ..session import checkpoint_root
+from ..session import scratch_path
 from .clusters import Clusters, fit_clusters
 from .quantiles import approx_quantiles, exact_quantiles
 
@@ -110,14 +110,17 @@ def rfm_kmeans(users: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> Cluster
 
 
 def pinned(users: DataFrame) -> DataFrame:
-    """Users written once to the checkpoint folder.
+    """Users written once as a scratch table of the shared folder.
 
     Spares quantiles, scaling, each k-means round and the final write from making the per-user
-    aggregate again, and survives a lost executor. The layout is Spark's own choice: nothing that
-    follows depends on it.
+    aggregate again, and survives a lost executor. A table and not a checkpoint, because passes that
+    need three columns then read three. The layout is Spark's own choice: nothing that follows
+    depends on it.
     """
-    checkpoint_root(users.sparkSession)
-    return users.checkpoint(eager=True)
+    spark = users.sparkSession
+    path = scratch_path(spark, "users")
+    users.write.parquet(path)
+    return spark.read.schema(users.schema).parquet(path)
 
 
 def cluster_stats(clustered: DataFrame) -> DataFrame:

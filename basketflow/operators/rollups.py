@@ -80,10 +80,13 @@ def category_stats_daily(events: DataFrame) -> DataFrame:
 
 def brand_stats_daily(events: DataFrame) -> DataFrame:
     key = list(BRAND_STATS.key)
-    stats = _sides(events, key, "user_id", "product_id").groupBy(*key).agg(
+    # Users who only filled carts are not counted, so their rows need no user of their own.
+    counted = events.withColumn(
+        "counted", F.when(F.col("event_type").isin(VIEW, PURCHASE), F.col("user_id")))
+    stats = _sides(counted, key, "counted", "product_id").groupBy(*key).agg(
         *_summed("product_id"),
-        _distinct("user_id", F.col("view_cnt") > 0).alias("view_uv"),
-        _distinct("user_id", F.col("purchase_cnt") > 0).alias("buyer_uv"),
+        _distinct("counted", F.col("view_cnt") > 0).alias("view_uv"),
+        _distinct("counted", F.col("purchase_cnt") > 0).alias("buyer_uv"),
         _distinct("product_id").alias("product_cnt"))
     bought = F.col("purchase_cnt")
     return BRAND_STATS.conform(stats.withColumn("gmv", money(F.col("cents"))).withColumns({

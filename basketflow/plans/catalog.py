@@ -619,6 +619,38 @@ def stream_late(spark, sf_dir):
     return files.read_latest(spark, out, REALTIME_GLOBAL)
 
 
+@query(None)
+def stream_idle_source(spark, sf_dir):
+    """Two sources, one of which goes quiet after a few early rows: windows close all the same."""
+    sibling = streaming_session(spark)
+    events = star.behavior(spark, sf_dir)
+    first = events.agg(F.min("event_time")).scalar()
+    early = F.col("event_time") <= first + F.expr("INTERVAL 1 HOUR")
+    sources = []
+    for name, rows in (("busy", events.filter(~early)), ("quiet", events.filter(early))):
+        path = scratch_path(spark, name)
+        rows.coalesce(1).write.parquet(path)
+        sources.append(sibling.readStream.schema(DETAIL.schema).parquet(path))
+    out = scratch_path(spark, "idle")
+    stats = streams.windowed_outputs(streams.one_of_many(*sources), "60 seconds", delay=None)
+    streams.start_windows(stats[REALTIME_GLOBAL.name], f"idle-{out[-8:]}", out,
+                          scratch_path(spark, "idle-ck"), {"availableNow": True}).awaitTermination()
+    return files.read_latest(spark, out, REALTIME_GLOBAL)
+
+
+@query(None)
+def replay_published(spark, sf_dir):
+    """Slices published in order, read by a stream one file a batch: no row comes too late."""
+    sibling = streaming_session(spark)
+    inbox, out = scratch_path(spark, "published"), scratch_path(spark, "published-out")
+    files.publish_slices(replay.replay_slices(replay.to_lines(star.behavior(spark, sf_dir)), 6), inbox)
+    lines = sibling.readStream.option("maxFilesPerTrigger", 1).text(inbox)
+    stats = streams.windowed_outputs(cleaning.clean_events(lines), "60 seconds")
+    streams.start_windows(stats[REALTIME_GLOBAL.name], f"published-{out[-8:]}", out,
+                          scratch_path(spark, "published-ck"), {"availableNow": True}).awaitTermination()
+    return files.read_latest(spark, out, REALTIME_GLOBAL)
+
+
 @query(None)
 def stream_fan_out(spark, sf_dir):
     """All four outputs of one stream: rows per table."""
@@ -695,6 +727,13 @@ def active_user_incremental(events):
     return daily.active_users(events.sparkSession, out)
 
 
+@query()
+def users_by_key(events):
+    """The user table grown by key: each day adds the users it saw first."""
+    out = _kept(events, daily.update_active_users)
+    return daily.users(events.sparkSession, out)
+
+
 def _stored_sketches(events: DataFrame) -> DataFrame:
     out = _kept(events, lambda days, path, start: daily.update_sketches(days, path))
     return daily.sketches(events.sparkSession, out)
@@ -831,6 +870,16 @@ def product_ranking_from_items(events):
     return serving.product_ranking(events, items=rollups.item_stats_daily(events))
 
 
+@query(star.behavior_li)
+def product_ranking_seeking(events):
+    """The ranking whose second read looks for the winners only."""
+    spark = events.sparkSession
+    path = scratch_path(spark, "detail")
+    # By year: the line items spread over thousands of days, too many folders for a small table.
+    files.write_detail(events.withColumn("event_date", F.trunc("event_date", "year")), path)
+    return serving.product_ranking_seeking(files.read_detail(spark, path))
+
+
 @query(star.behavior_li)
 def product_ranking_approx(events):
     """The ranking with sketched users beside the exact one."""

@@ -4,6 +4,7 @@
 |---|---|
 | first_seen | a partition with the users seen in no earlier one |
 | active_users, brand_sketches | the day's partition is replaced |
+| users | attributes of newly seen users, replaced by key |
 | activity | every user's mask merged with the day's, as a new version |
 | retention | counted from the masks, as a new version |
 
@@ -17,16 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import filter_date_range
+from ..operators.dim_user import dim_user
 from ..operators.increments import (
     active_user_increment, activity_masks, merge_masks, newly_seen, retention_from_masks,
 )
 from ..operators.sketches import brand_sketches
 from ..schema import (
-    ACTIVE_USER_DAILY, BRAND_SKETCHES, FIRST_SEEN, RETENTION_DAILY, Table, USER_ACTIVITY,
+    ACTIVE_USER_DAILY, BRAND_SKETCHES, DIM_USER, FIRST_SEEN, RETENTION_DAILY, Table, USER_ACTIVITY,
 )
 from ..session import file_system
 from ..sources.files import write_replace
-from ..sources.versions import read_table, replace_table
+from ..sources.versions import read_keys, read_table, replace_keys, replace_table
 
 
 def read_partitions(spark: SparkSession, path: str, table: Table) -> DataFrame:
@@ -48,6 +50,7 @@ def update_active_users(days: DataFrame, out: str, start=None) -> None:
     seen = read_partitions(spark, path, FIRST_SEEN)
     fresh = seen if start is None else seen.filter(F.col("first_day") >= F.lit(start).cast("date"))
     write_replace(active_user_increment(days, fresh), f"{out}/active_users", "event_date")
+    replace_keys(dim_user(fresh), f"{out}/users", DIM_USER)
 
 
 def update_retention(days: DataFrame, out: str) -> None:
@@ -74,6 +77,10 @@ def active_users(spark: SparkSession, out: str) -> DataFrame:
     return read_partitions(spark, f"{out}/active_users", ACTIVE_USER_DAILY)
 
 
+def users(spark: SparkSession, out: str) -> DataFrame:
+    return read_keys(spark, f"{out}/users", DIM_USER)
+
+
 def retention(spark: SparkSession, out: str) -> DataFrame:
     return read_table(spark, f"{out}/retention", RETENTION_DAILY)
 

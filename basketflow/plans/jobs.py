@@ -22,12 +22,14 @@ from ..operators.windows import brand_windows, category_windows, global_windows
 from ..functions.text import parse_source_time
 from ..schema import REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL
 from ..session import build_session, clear_scratch
-from ..sources.external import kafka_lines, write_kafka
+from ..sources.external import kafka_lines, write_kafka_in_order
 from ..sources.files import (
-    append_version, bulk_load, compact, next_generation, read_detail, read_raw_csv, write_detail,
-    write_replace,
+    append_version, bulk_load, compact, next_generation, publish_slices, read_detail, read_raw_csv,
+    stored_days, write_detail, write_replace,
 )
+from ..sources.versions import replace_table
 from ..streaming.queries import WATERMARK, await_all, start_all
+from . import daily
 
 # Tables a rerun over a date range replaces day by day.
 DAILY = {
@@ -36,7 +38,7 @@ DAILY = {
     "categories": category_stats_daily,
     "brands": brand_stats_daily,
 }
-# Tables that need the whole history and are replaced whole.
+# Tables that need the whole history and get a new version (read them with ``versions.read_table``).
 WHOLE = {
     "retention": retention_matrix,
     "profiles": user_profile,
@@ -55,15 +57,27 @@ def run_table(spark: SparkSession, args: argparse.Namespace) -> None:
         days = filter_date_range(detail, args.start, args.end)
         write_replace(DAILY[args.job](days), args.out, "event_date")
     else:
-        write_replace(WHOLE[args.job](detail), args.out)
+        replace_table(WHOLE[args.job](detail), args.out)
+
+
+def run_days(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Retention, active users, first days and sketches up to date, from the days given alone."""
+    daily.update(read_detail(spark, args.detail), args.out, args.start, args.end)
 
 
 def run_windows(spark: SparkSession, args: argparse.Namespace) -> None:
     """History into the three window tables without a stream: days from detail, in bounded memory.
 
     The rows form a generation of their own, so they replace what a stream wrote for these
-    days; a stream started later outranks them from its first window on.
+    days; a stream started later outranks them from its first window on. They would also outrank
+    the later windows of a stream that is still running, so the newest stored day, which a stream
+    may be writing, is refused unless ``--stream-stopped`` says that none is.
     """
+    for table in (REALTIME_GLOBAL, REALTIME_CATEGORY, REALTIME_BRAND):
+        newest = next(iter(stored_days(spark, f"{args.out}/{table.name}")), None)
+        if newest and not args.stream_stopped and (args.end is None or args.end >= newest):
+            raise ValueError(f"{table.name} holds windows up to {newest}, which a stream may still be "
+                             "writing: end before that day, or pass --stream-stopped")
     days = filter_date_range(read_detail(spark, args.detail), args.start, args.end)
     wide = f"{args.global_seconds} seconds", f"{args.dimension_seconds} seconds"
     for table, stats in ((REALTIME_GLOBAL, global_windows(days, wide[0])),
@@ -114,7 +128,9 @@ def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:
         parse_source_time(F.substring_index("value", ",", 1)).alias("event_time"))
     ordered = replay_slices(lines, args.slices)
     if args.servers:
-        write_kafka(ordered, args.servers, args.topic)
+        write_kafka_in_order(ordered, args.servers, args.topic)
+    elif args.publish:
+        publish_slices(ordered, args.out)
     else:
         ordered.select("value", "slice").write.mode("overwrite").partitionBy("slice").text(args.out)
 
@@ -122,7 +138,7 @@ def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="run_job.py")
     parser.add_argument("job", choices=[
-        "load", "stream", "replay", "windows", "compact", *DAILY, *WHOLE])
+        "load", "stream", "replay", "windows", "compact", "days", *DAILY, *WHOLE])
     parser.add_argument("--csv", help="raw history with a header line")
     parser.add_argument("--detail", help="detail table folder")
     parser.add_argument("--out", help="folder of the result")
@@ -141,6 +157,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--dimension-seconds", type=int, default=60)
     parser.add_argument("--shift-to-now", action="store_true")
     parser.add_argument("--slices", type=int, default=64)
+    parser.add_argument("--publish", action="store_true",
+                        help="slices become visible one after the other, for a stream that is reading")
+    parser.add_argument("--stream-stopped", action="store_true",
+                        help="no stream is writing the window tables")
     args = parser.parse_args(argv)
     if args.job in WHOLE and (args.start or args.end):
         parser.error(f"{args.job} always covers the whole history; leave --start and --end out")
@@ -153,7 +173,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or build_session(f"basketflow-{args.job}")
     began = time.monotonic()
     job = {"load": run_load, "stream": run_stream, "replay": run_replay, "windows": run_windows,
-           "compact": run_compact}.get(args.job, run_table)
+           "compact": run_compact, "days": run_days}.get(args.job, run_table)
     try:
         job(spark, args)
     finally:

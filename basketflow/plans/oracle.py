@@ -416,6 +416,10 @@ def oracle_sql() -> dict[str, str]:
               SELECT event_time, event_type, user_id, price FROM kept UNION ALL
               SELECT (SELECT max(event_time) FROM kept) - INTERVAL '10 seconds', 'view', -1, 0
               FROM range(50)), {_windows(60)} SELECT * FROM windows""",
+        "stream_idle_source": f"WITH {GLOBAL_MINUTE} SELECT * FROM windows WHERE {CLOSED}",
+        "replay_published": f"""WITH {BEHAVIOR.replace("behavior AS", "exact AS", 1)},
+            behavior AS (SELECT * REPLACE (date_trunc('second', event_time) AS event_time)
+              FROM exact), {_windows(60)} SELECT * FROM windows WHERE {CLOSED}""",
         "stream_fan_out": f"""WITH {GLOBAL_SECOND}, {_windows(60, 'category_id', name='categories')},
             {_windows(60, 'brand', name='brands')}
             SELECT 'ads_realtime_pv_uv' AS name, CAST(count(*) AS BIGINT) AS rows FROM windows
@@ -426,6 +430,7 @@ def oracle_sql() -> dict[str, str]:
         # tables kept day by day
         "retention_incremental": f"{b}, {RETENTION} SELECT * FROM matrix",
         "active_user_incremental": f"{b}, {USER_DAYS}, {COHORTS} {ACTIVE}",
+        "users_by_key": f"{b}, {BUCKETS}, {DIM} SELECT * FROM dim",
         "uv_range_sketch": f"""{b} SELECT brand, CAST(count(*) AS BIGINT) AS uv,
               CAST(count(*) FILTER (v > 0) AS BIGINT) AS view_uv,
               CAST(count(*) FILTER (p > 0) AS BIGINT) AS buyer_uv,
@@ -500,6 +505,7 @@ def oracle_sql() -> dict[str, str]:
     sql["cohort_assign_join"] = sql["cohort_assign"]
     sql["global_sort"] = sql["retention_matrix"]
     sql["exactly_once_resume"] = sql["stream_brand"]
+    sql["product_ranking_seeking"] = sql["product_ranking_li"]
     sql["product_ranking_from_items"] = sql["product_ranking_li"]
     sql["stream_compacted"] = sql["stream_brand"]
     sql["windows_backfill"] = sql["win_brand"]

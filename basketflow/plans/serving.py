@@ -5,7 +5,7 @@ Inputs hold one row per replace key: read versioned tables with ``read_latest``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import approx_uv, as_gmv, avg_order_value, cond_count, cond_sum
@@ -74,15 +74,7 @@ def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True,
     user for the rest of the catalogue never reach a shuffle, and detail is read twice in all.
     """
     order = [F.col("gmv").desc(), F.col("product_id")]
-    if items is None:
-        totals = events.groupBy("product_id").agg(
-            cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
-            cond_sum(PURCHASE).alias("gmv"))
-    else:
-        totals = items.groupBy("product_id").agg(
-            F.sum("view_cnt").alias("pv"), F.sum("purchase_cnt").alias("purchase_cnt"),
-            as_gmv(F.sum("gmv")).alias("gmv"))
-    top = order_limit(totals, order, limit)
+    top = order_limit(_product_totals(events, items), order, limit)
     winners = events.select("product_id", "brand", "user_id").join(top, "product_id")
     measures = ["product_id", "pv", "purchase_cnt", "gmv"]
     if exact_uv:
@@ -95,6 +87,54 @@ def product_ranking(events: DataFrame, limit: int = 20, exact_uv: bool = True,
         "product_id", "brand", "pv", "purchase_cnt", "uv", "gmv").orderBy(*order)
 
 
+def _product_totals(events: DataFrame, items: DataFrame | None, *more: Column) -> DataFrame:
+    """Totals per product, from detail or from the daily item table."""
+    if items is None:
+        return events.groupBy("product_id").agg(
+            cond_count(VIEW).alias("pv"), cond_count(PURCHASE).alias("purchase_cnt"),
+            cond_sum(PURCHASE).alias("gmv"), *more)
+    return items.groupBy("product_id").agg(
+        F.sum("view_cnt").alias("pv"), F.sum("purchase_cnt").alias("purchase_cnt"),
+        as_gmv(F.sum("gmv")).alias("gmv"), *more)
+
+
+def product_ranking_seeking(events: DataFrame, limit: int = 20, exact_uv: bool = True,
+                            items: DataFrame | None = None) -> DataFrame:
+    """The same ranking, with the winners known before the second read is planned.
+
+    The ``limit`` winners come to the driver and go into the second read as constants, each with the
+    categories it stands in, as detail is written sorted by category and product. They reach the
+    files as predicates, so page statistics skip pages, and blooms row groups, that hold no winner;
+    a join would read every row to drop nearly all. Runs one job at once.
+    """
+    order = [F.col("gmv").desc(), F.col("product_id")]
+    totals = _product_totals(events, items, F.min("category_id").alias("low"),
+                             F.max("category_id").alias("high"))
+    top = order_limit(totals, order, limit).collect()
+    rows = events.sparkSession.createDataFrame(
+        [tuple(r)[:4] for r in top],
+        "product_id bigint, pv bigint, purchase_cnt bigint, gmv decimal(18,2)")
+    found = events.filter(_winners(top)).select("product_id", "brand", "user_id")
+    uv = F.count_distinct("user_id") if exact_uv else approx_uv()
+    if exact_uv:
+        found = found.distinct()
+    described = found.groupBy("product_id").agg(uv.alias("uv"), F.max("brand").alias("brand"))
+    return described.join(F.broadcast(rows), "product_id").select(
+        "product_id", "brand", "pv", "purchase_cnt", "uv", "gmv").orderBy(*order)
+
+
+def _winners(top: list) -> Column:
+    """Rows of the given products. Equalities, because a long IN list is only pushed as a range."""
+    wanted = F.lit(False)
+    for r in top:
+        of = F.col("product_id") == r.product_id
+        if r.low is not None:
+            # Rows without a category would fail the comparison, so they are asked for by name.
+            of = of & (F.col("category_id").between(r.low, r.high) | F.col("category_id").isNull())
+        wanted = wanted | of
+    return wanted
+
+
 def product_metrics(events: DataFrame) -> DataFrame:
     """The same measures for the whole catalogue."""
     stats = events.groupBy("product_id").agg(

@@ -23,6 +23,8 @@ STREAMING_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Of several sources the fastest decides, so one that has gone quiet holds nothing back.
+    "spark.sql.streaming.multipleWatermarkPolicy": "max",
 }
 
 # Reliable checkpoints go when the frame they belong to is no longer referenced.

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:
     """Earliest applies to a new query only; afterwards the checkpoint holds the offsets."""
@@ -35,6 +37,22 @@ def write_kafka(lines: DataFrame, servers: str, topic: str) -> None:
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
 
 
+def write_kafka_in_order(sliced: DataFrame, servers: str, topic: str, write=write_kafka) -> int:
+    """Replay slices one after the other, so the topic holds nothing older behind a whole slice.
+
+    The slices are laid down once; each is then sent by a job of its own. Within a slice the keys keep
+    their users' order; a topic of one partition keeps the order of the slices altogether.
+    """
+    spark = sliced.sparkSession
+    path = scratch_path(spark, "slices")
+    sliced.select("key", "value", "slice").write.partitionBy("slice").parquet(path)
+    stored = spark.read.schema("key string, value string, slice int").parquet(path)
+    numbers = sorted(r[0] for r in stored.select("slice").distinct().collect())
+    for number in numbers:
+        write(stored.filter(F.col("slice") == number), servers, topic)
+    return len(numbers)
+
+
 def jdbc_options(url: str, query: str, partition_column: str, lower, upper,
                  partitions: int) -> dict[str, str]:
     """A parallel read. The query goes in as a derived table because Spark's ``query`` option

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,10 @@ from ..session import delete_path, file_system
 
 CORRUPT = "_corrupt"
 
+# Different products of a row group that its bloom filter is sized for (about 120 KB).
+BLOOM_PRODUCTS = 100_000
+PAGE_ROWS = 4_000
+
 # A stored row's version: the generation of the checkpoint that wrote it, the batch, and how often
 # it has been compacted. Compared in this order.
 DAY, GENERATION, BATCH, PASS = "_day", "_generation", "_batch", "_pass"
@@ -98,13 +103,18 @@ def write_detail(events: DataFrame, path: str, mode: str = "overwrite",
     """
     order = ["event_date", "category_id", "product_id"]
     rows = DETAIL.conform(events)
+    # A read of few products skips row groups by their bloom filters, and small pages by their
+    # smallest and largest category and product.
+    skips = {"parquet.page.row.count.limit": str(PAGE_ROWS),
+             "parquet.bloom.filter.enabled#product_id": "true",
+             "parquet.bloom.filter.expected.ndv#product_id": str(BLOOM_PRODUCTS)}
     if files:
         rows = rows.withColumn("_tie", F.spark_partition_id())
         rows = rows.repartitionByRange(files, *order, "_tie").drop("_tie")
     else:
         rows = rows.hint("rebalance", "event_date")
     (rows.sortWithinPartitions(*order)
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").options(**skips)
      .partitionBy("event_date").parquet(path))
 
 
@@ -118,26 +128,43 @@ def read_pruned(events: DataFrame, start=None, end=None) -> DataFrame:
         "event_date", "event_type", "user_id", "price")
 
 
-def write_replace(rows: DataFrame, path: str, partition: str | None = None) -> None:
-    """Write so that a rerun replaces: the touched partitions only, or the whole table.
+def write_replace(rows: DataFrame, path: str, partition: str) -> None:
+    """Write so that a rerun replaces the partitions it touches (whole tables: ``versions``).
 
     Partitions are rebalanced first, so files follow their size and not tasks times partitions.
-    A whole table is written beside the old one and then takes its place: a failed job leaves
-    the old table.
     """
-    if partition:
-        (rows.hint("rebalance", partition).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
-        return
-    spark = rows.sparkSession
-    path = path.rstrip("/")
-    fresh, old = f"{path}__new-{uuid.uuid4().hex}", f"{path}__old-{uuid.uuid4().hex}"
-    rows.write.parquet(fresh)
-    system, target = file_system(spark, path)
-    if system.exists(target):
-        _rename(spark, path, old)
-    _rename(spark, fresh, path)
-    delete_path(spark, old)
+    (rows.hint("rebalance", partition).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+
+
+def publish_slices(sliced: DataFrame, path: str) -> int:
+    """Replay slices as text files that appear one after the other; returns how many.
+
+    ``sliced`` holds ``value`` and ``slice`` as ``replay_slices`` makes them. All slices are written
+    aside in parallel, where no reader looks, and then renamed into ``path`` in their order, each with
+    a later modification time than the one before. A file stream takes files by that time, so one
+    that reads a file a batch meets no row behind its watermark. Stores that set the time themselves
+    keep the order as well, since renames follow one another.
+    """
+    spark, path = sliced.sparkSession, path.rstrip("/")
+    aside = f"{path}/_aside-{uuid.uuid4().hex}"
+    sliced.select("value", "slice").write.partitionBy("slice").text(aside)
+    system, root = file_system(spark, path)
+    now = max([int(time.time() * 1000)] + [
+        s.getModificationTime() + 1 for s in system.listStatus(root) if not s.isDirectory()])
+    number = lambda name: int(name.partition("=")[2])
+    folders = sorted((s.getPath() for s in system.listStatus(file_system(spark, aside)[1])
+                      if s.getPath().getName().startswith("slice=")),
+                     key=lambda p: number(p.getName()))
+    count = 0
+    for folder in folders:
+        for part in sorted(s.getPath().toString() for s in system.listStatus(folder)):
+            target = f"{path}/{now}-{count:06d}.txt"
+            _rename(spark, part, target)
+            system.setTimes(file_system(spark, target)[1], now + count, -1)
+            count += 1
+    delete_path(spark, aside)
+    return count
 
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:
@@ -180,7 +207,7 @@ def read_latest(spark: SparkSession, path: str, table: Table, start=None, end=No
     return table.conform(latest_by_key(rows, table.key, VERSION))
 
 
-def _days(spark: SparkSession, path: str) -> list[str]:
+def stored_days(spark: SparkSession, path: str) -> list[str]:
     """Days that have a folder, newest first. Only the top level is listed."""
     system, target = file_system(spark, path)
     names = [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
@@ -195,7 +222,7 @@ def read_newest(spark: SparkSession, path: str, table: Table, rows: int) -> Data
     pass for a full one. The newest rows of the table are all in what is returned, because a row
     lies in the folder of its own day; older days are neither read nor listed below their name.
     """
-    days = _days(spark, path.rstrip("/"))
+    days = stored_days(spark, path.rstrip("/"))
     taken, step, found = 0, 1, 0
     while taken < len(days) and found < rows:
         part = days[taken:taken + step]

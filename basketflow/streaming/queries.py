@@ -20,17 +20,30 @@ CADENCE = "5 seconds"
 def with_event_time(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """Rows more than ``delay`` behind the newest event may be dropped.
 
-    The watermark is the maximum over the whole input, so an idle source cannot hold it back.
+    The watermark is the maximum over the whole input. Rows of ``one_of_many`` have theirs already.
     """
     return events.withWatermark("event_time", delay)
 
 
+def one_of_many(*sources: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """Several sources as one, each with a watermark of its own.
+
+    Under the policy of ``STREAMING_SETTINGS`` the furthest of them counts, as if all had come
+    through one source: an idle source does not hold windows open, and rows of a slow one may be late.
+    """
+    marked = [with_event_time(source, delay) for source in sources]
+    rows = marked[0]
+    for other in marked[1:]:
+        rows = rows.unionByName(other)
+    return rows
+
+
 def windowed_outputs(events: DataFrame, global_width: str = GLOBAL_WIDTH,
                      dimension_width: str = DIMENSION_WIDTH, exact_uv: bool = True,
-                     delay: str = WATERMARK) -> dict[str, DataFrame]:
+                     delay: str | None = WATERMARK) -> dict[str, DataFrame]:
     """Global, category and brand metrics. Three aggregations because distinct users do not add;
-    each reads and parses the source itself."""
-    marked = with_event_time(events, delay)
+    each reads and parses the source itself. Without a ``delay`` the rows are marked already."""
+    marked = with_event_time(events, delay) if delay else events
     return {
         REALTIME_GLOBAL.name: global_windows(marked, global_width, exact_uv=exact_uv),
         REALTIME_CATEGORY.name: category_windows(marked, dimension_width, exact_uv=exact_uv),

@@ -28,9 +28,14 @@ def generation_of(spark: SparkSession, path: str, checkpoint: str) -> int:
 
 def versioned_sink(path: str, generation: int = 0) -> Callable[[DataFrame, int], None]:
     """A foreachBatch writer: a replayed batch overwrites its own folders, an empty one writes
-    nothing."""
+    nothing. The batch is kept while it is looked at and written, so its plan, state included, runs
+    once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            append_version(batch, path, batch_id, generation)
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                append_version(batch, path, batch_id, generation)
+        finally:
+            batch.unpersist()
 
     return write

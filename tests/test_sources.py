@@ -87,16 +87,26 @@ def test_days_are_written_as_few_files(spark, sf_dir, tmp_path):
         assert len(list((tmp_path / name).glob("*/*.parquet"))) == 30
 
 
-def test_a_failed_rewrite_leaves_the_old_table(spark, tmp_path):
-    path = str(tmp_path / "t")
-    files.write_replace(spark.range(5).toDF("x"), path)
-    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("x"))
-    with pytest.raises(Exception):
-        files.write_replace(broken, path)
-    assert spark.read.parquet(path).count() == 5
-    files.write_replace(spark.range(2).toDF("x"), path)
-    assert spark.read.parquet(path).count() == 2
-    assert not list(tmp_path.glob("t__old*"))
+def test_published_slices_appear_in_order(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    rows = spark.createDataFrame([(f"{i:04d}", i // 10) for i in range(40)], "value string, slice int")
+    assert files.publish_slices(rows.coalesce(1), str(inbox)) == 4
+    assert files.publish_slices(rows.coalesce(1).selectExpr("'9' || value AS value", "slice"),
+                                str(inbox)) == 4
+    found = sorted(inbox.glob("*.txt"), key=lambda f: f.stat().st_mtime_ns)
+    assert len({f.stat().st_mtime_ns // 10**6 for f in found}) == 8
+    text = "".join(f.read_text() for f in found).split()
+    assert text == [f"{i:04d}" for i in range(40)] + [f"9{i:04d}" for i in range(40)]
+    assert not list(inbox.glob("_aside*"))
+
+
+def test_slices_are_sent_to_a_broker_one_after_the_other(spark):
+    rows = spark.createDataFrame([("k", str(i), i // 3) for i in range(9)],
+                                 "key string, value string, slice int").repartition(4)
+    sent = []
+    assert external.write_kafka_in_order(
+        rows, "h:1", "t", lambda part, *_: sent.append({r.value for r in part.collect()})) == 3
+    assert sent == [{"0", "1", "2"}, {"3", "4", "5"}, {"6", "7", "8"}]
 
 
 def test_connector_options():
