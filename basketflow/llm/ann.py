@@ -17,8 +17,10 @@ less the inner product times a constant of the query, so long vectors are found
 precision.
 
 Defined cases: vectors that are null, of another length than most, all zero, or hold null or
-non-finite components take no part; null ids take no part; repeated rows of one id count once per
-distinct id; ties go to the smaller id; queries with fewer candidates than ``k`` in the read lists get those.
+non-finite components take no part; null ids take no part; repeated rows of one id count once, and of
+several vectors of one id the smallest; ties go to the smaller id; a query with fewer than ``k`` candidates
+in the lists it reads reads all of them, so it gets ``k`` rows unless the table has fewer; an empty table
+gives no rows; extra columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -298,8 +300,8 @@ def _meet(k: int):
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows whose id is divisible by ``every``."""
     spark = vectors.sparkSession
-    rows = usable(vectors).dropDuplicates(["id"])
-    rows = tx.stored(rows, "vectors")
+    # Of several vectors of one id the smallest counts, the same in every run.
+    rows = tx.stored(usable(vectors).groupBy("id").agg(F.min("v").alias("v")), "vectors")
     common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -308,12 +310,28 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     facts = rows.agg(F.count("*").alias("n"), F.sqrt(F.max(norm)).alias("largest")).first()
     index = fit(rows, facts.n, common.d, facts.largest)
     shared = spark.sparkContext.broadcast(index)         # MAX_LISTS centroids at most
-    schema = "id long, v array<double>, list long"
-
-    stored = tx.stored(rows.mapInArrow(_assign(shared, REPLICATE, COPIES), schema), "postings")
+    stored = tx.stored(rows.mapInArrow(_assign(shared, REPLICATE, COPIES),
+                                       "id long, v array<double>, list long"), "postings")
     lists = lists_to_read(rows, stored, index, every, k)
-    asked = tx.stored(rows.filter(F.col("id") % every == 0)
-                      .mapInArrow(_ask(shared, lists), schema), "asked")
+    queries = rows.filter(F.col("id") % every == 0)
+    found = tx.stored(_searched(queries, stored, shared, lists, k), "found")
+    # Lists of small isolated groups may hold too few candidates: such queries read all lists.
+    got = found.groupBy("query_id").agg(F.count("*").alias("got"))
+    short = tx.stored(
+        queries.join(got, F.col("id") == F.col("query_id"), "left")
+        .filter(F.coalesce("got", F.lit(0)) < min(k, facts.n - 1)).select("id", "v"), "short")
+    if not short.isEmpty():
+        more = _searched(short, stored, shared, len(index.centroids), k)
+        found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti") \
+            .unionByName(more)
+    return found
+
+
+def _searched(queries: DataFrame, stored: DataFrame, shared, lists: int, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best of the given number of lists."""
+    asked = tx.stored(
+        queries.select("id", "v").mapInArrow(_ask(shared, lists), "id long, v array<double>, list long"),
+        "asked")
     # Both sides of a list are dealt in blocks by hash, and every two blocks meet.
     sizes = [side.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias(name))
              for side, name in ((stored, "blocks"), (asked, "turns"))]

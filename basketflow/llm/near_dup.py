@@ -11,14 +11,17 @@ further.
 A bucket of n classes is never expanded into its pairs. Every class names one hub, the most typical
 class of the bucket it resembles most; classes connected through hubs form a cluster. Inside
 a cluster all intersections are counted exactly on full shingle sets, in cells of bounded size that
-together hold every pair, and a cell returns one link per class, not its pairs. Pairs of different
-clusters that share a bucket are confirmed one by one, the most similar first, and only as long
-as they would join two components.
+together hold every pair, and a cell returns one link per class, not its pairs. Where a bucket holds
+classes of different clusters that are still apart, those that could reach one another are named
+(a row a class and bucket, no pairs), equal groups from several buckets fold into one, and each
+group is counted exactly in the same cells. After that every pair that shares a bucket has been
+decided on full sets.
 
 Defined cases: documents without words (null, empty, blanks) have 0 shingles and stay alone; rows
 with a null doc_id take no part and are kept with a null component; rows that repeat a doc_id
-and text share one class, so all of them carry the verdict of that document; of equal documents
-the smallest doc_id stays. Extra columns are ignored.
+and text share one class, so all of them carry the verdict of that document; rows that repeat a
+doc_id with other texts are judged text by text; of equal documents the smallest doc_id stays; very
+long texts are a chunk of their own; an empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ CELL = 2048           # classes of a bucket or cluster compared in one piece
 CELL_SHINGLES = 1 << 20    # shingles of a cluster in one piece, about
 RARE = 16             # holders up to which a shingle's pairs are counted one by one
 SLACK = 4.5           # standard deviations granted to the estimate
-FIRST_TRIES = 32      # partners proposed per class and component in the first round across
+AT_ONCE = 16          # rows estimated against a cell at a time, which bounds memory
 
 _BUCKET_BITS = 7
 _LIMITS = np.arange(1, REGISTERS, dtype=np.uint64) << np.uint64(64 - _BUCKET_BITS)
@@ -167,8 +170,8 @@ def _propose(percent: int):
             node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
             regs = _regs(table.column("regs").combine_chunks())
             found = np.zeros(len(node), bool)
-            for low in range(0, len(node), 64):
-                part = np.arange(low, min(low + 64, len(node)))
+            for low in range(0, len(node), AT_ONCE):
+                part = np.arange(low, min(low + AT_ONCE, len(node)))
                 _, good = _possible(regs, size, part, percent)
                 good[np.arange(len(part)), part] = False
                 found[part] = good.any(axis=1)
@@ -238,8 +241,9 @@ def _exact_cell(percent: int):
     return run
 
 
-def _across(percent: int, tries: int):
-    """Per cell: for each class its best untested partners in every other component."""
+def _reachable(percent: int):
+    """Per cell of a bucket: its classes that could reach a class of another cluster and component,
+    as a group named by its members."""
     def run(batches):
         for table in _groups(batches, "cell"):
             node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
@@ -249,29 +253,19 @@ def _across(percent: int, tries: int):
                 continue
             size = table.column("n").to_numpy()
             regs = _regs(table.column("regs").combine_chunks())
-            failed = [set(x or ()) for x in table.column("failed").to_pylist()]
-            values, inverse, count = np.unique(comp, return_inverse=True, return_counts=True)
-            asking = np.flatnonzero(inverse != np.argmax(count))   # the rest only answers
-            a_out, b_out, j_out = [], [], []
-            for low in range(0, len(asking), 64):
-                part = asking[low:low + 64]
-                j, good = _possible(regs, size, part, percent)
+            found = np.zeros(len(node), bool)
+            for low in range(0, len(node), AT_ONCE):
+                part = np.arange(low, min(low + AT_ONCE, len(node)))
+                _, good = _possible(regs, size, part, percent)
                 good &= (comp[part][:, None] != comp[None, :]) \
                     & (cluster[part][:, None] != cluster[None, :])
                 if pair[0]:     # a cell of two blocks: pairs inside a block have their own cell
                     good &= home[part][:, None] != home[None, :]
-                for k, row in enumerate(part):
-                    left = dict.fromkeys(range(len(values)), tries)
-                    for other in sorted(np.flatnonzero(good[k]), key=lambda o: (-j[k, o], node[o])):
-                        if left[inverse[other]] and int(node[other]) not in failed[row]:
-                            left[inverse[other]] -= 1
-                            a_out.append(min(node[row], node[other]))
-                            b_out.append(max(node[row], node[other]))
-                            j_out.append(j[k, other])
-            if a_out:
-                yield pa.record_batch({"a": pa.array(a_out, pa.int64()),
-                                       "b": pa.array(b_out, pa.int64()),
-                                       "j": pa.array(j_out, pa.float64())})
+                found[part] = good.any(axis=1)
+            own = node[found]
+            if len(own):
+                name = np.add.reduce(tx.mix(own.view(np.uint64))).view(np.int64)
+                yield pa.record_batch({"group": np.full(len(own), name), "node": own})
     return run
 
 
@@ -287,30 +281,6 @@ def _full_sets(batches):
                 "set": pa.array([sets[i].tobytes() for i in own], pa.binary())})
 
 
-def _confirm(percent: int):
-    def run(batches):
-        for batch in batches:
-            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            linked = []
-            for x, y in zip(col["a_set"], col["b_set"]):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.record_batch({"a": col["a"], "b": col["b"],
-                                   "linked": pa.array(linked, pa.bool_())})
-    return run
-
-
-def _both(pairs: DataFrame, side: DataFrame, **columns: str) -> DataFrame:
-    """Attach columns of ``side`` (keyed by node) to both ends of pairs."""
-    for end in ("a", "b"):
-        named = side.select(F.col("node").alias(end), *[
-            F.col(source).alias(f"{end}_{target}") for target, source in columns.items()])
-        pairs = pairs.join(named, end)
-    return pairs
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge, by repeated contraction.
 
@@ -347,9 +317,9 @@ def _full(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     Always a merge join: the texts are shuffled once at any size, the sets never more than needed.
     """
     holders = classes.join(nodes, "node", "left_semi").select("node", F.col("rep").alias("doc_id"))
-    return tx.stored(
-        docs.join(holders.hint("merge"), "doc_id").select("node", "text")
-        .mapInArrow(_full_sets, "node long, set binary").dropDuplicates(["node"]), "sets")
+    texts = docs.join(holders.hint("merge"), "doc_id").select("node", "text")
+    return tx.stored(tx.mapped(texts, _full_sets, "node long, set binary").dropDuplicates(["node"]),
+                     "sets")
 
 
 def _cells(rows: DataFrame, key: str, blocks) -> DataFrame:
@@ -374,24 +344,29 @@ def link(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     Two documents are linked when 100 * intersection >= percent * union of their shingle sets.
     """
+    with tx.temporary(docs.sparkSession):
+        return _verdicts(docs, percent).drop("node")
+
+
+def _verdicts(docs: DataFrame, percent: int) -> DataFrame:
     docs = tx.need(docs, "doc_id", "text")
-    sketches = tx.stored(docs.mapInArrow(
-        _sketch, "doc_id long, n_shingles long, node long, check long, regs binary"), "sketches")
+    sketches = tx.stored(tx.mapped(
+        docs, _sketch, "doc_id long, n_shingles long, node long, check long, regs binary"),
+        "sketches", keep=True)
     classes = tx.stored(
         sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                              F.first("regs").alias("regs")), "classes")
-    bands = classes.select("node", "regs").mapInArrow(_bands, "key long, node long")
+    bands = tx.mapped(classes.select("node", "regs"), _bands, "key long, node long")
     shared = tx.stored(bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"),
                        "buckets")
     buckets = tx.stored(bands.join(shared, "key"), "members")
 
     facts = classes.select("node", "n", "regs")
+    dealt = _by_cell(_cells(buckets, "key", _bucket_blocks()).select("cell", "node")
+                     .join(facts, "node")).select("cell", "node", "n", "regs")
     hubs = tx.stored(
-        _by_cell(_cells(buckets, "key", _bucket_blocks()).select("cell", "node")
-                 .join(facts, "node"))
-        .select("cell", "node", "n", "regs")
-        .mapInArrow(_propose(percent), "a long, b long, j double")
+        tx.mapped(dealt, _propose(percent), "a long, b long, j double")
         .groupBy("a").agg(F.max(F.struct("j", "b")).alias("best"))
         .select("a", F.col("best.b").alias("b")), "hubs")
     clusters = tx.stored(_clusters(hubs), "clusters")
@@ -399,28 +374,18 @@ def link(docs: DataFrame, percent: int = 85) -> DataFrame:
     sets = _full(docs, classes, clusters.select("node"))
     edges = tx.stored(_inside(near, sets, percent), "links")
 
-    tested: DataFrame | None = None
-    tries = FIRST_TRIES
-    while True:
-        labels = _labels(classes, edges)
-        pairs = tx.stored(_open_pairs(buckets, near, tested, labels, percent, tries), "pairs")
-        if pairs.isEmpty():
-            break
-        done = tx.stored(
-            _both(pairs.select("a", "b"), sets, set="set").select("a", "b", "a_set", "b_set")
-            .mapInArrow(_confirm(percent), "a long, b long, linked boolean"), "tested")
-        tested = done if tested is None else tested.union(done)
-        edges = edges.union(done.filter("linked").select("a", "b"))
-        tries *= 32
+    groups = tx.stored(_open_groups(buckets, near, _labels(classes, edges), percent), "groups")
+    edges = edges.union(_inside(groups, sets, percent))
+    labels = _labels(classes, edges)
 
     labelled = classes.select("node", "rep").join(labels, "node")
     smallest = labelled.groupBy("comp").agg(F.min("rep").alias("component_id"))
     verdicts = tx.stored(labelled.join(smallest, "comp").select("node", "component_id"),
-                         "verdicts")
+                         "verdicts", keep=True)
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
     return (sketches.select("doc_id", "n_shingles", "node")
             .join(verdicts, "node", "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "node", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(),
                            F.coalesce(alone, "component_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
@@ -442,9 +407,9 @@ def _inside(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = clusters.join(tx.stored(weight, "cluster-sizes"), "cluster")
     blocks = F.ceil(F.greatest(F.col("members") / CELL,
                                F.col("shingles") / CELL_SHINGLES)).cast("long")
-    return (_by_cell(_cells(rows, "cluster", blocks).select("cell", "node").join(sets, "node"))
-            .select("cell", "node", "set").mapInArrow(_exact_cell(percent), "a long, b long")
-            .distinct())
+    dealt = _by_cell(_cells(rows, "cluster", blocks).select("cell", "node").join(sets, "node"))
+    return tx.mapped(dealt.select("cell", "node", "set"), _exact_cell(percent), "a long, b long") \
+        .distinct()
 
 
 def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -452,9 +417,11 @@ def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
         .select("node", F.coalesce("root", "node").alias("comp"))
 
 
-def _open_pairs(buckets: DataFrame, near: DataFrame, tested: DataFrame | None,
-                labels: DataFrame, percent: int, tries: int) -> DataFrame:
-    """Untested pairs of different clusters and components that share a bucket."""
+def _open_groups(buckets: DataFrame, near: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(node, cluster, n): groups of classes that share a bucket, are apart and could be linked.
+
+    A group that several buckets name is there once.
+    """
     placed = near.select("node", "cluster").join(labels, "node")
     member = buckets.join(placed, "node")
     mixed = member.groupBy("key").agg(
@@ -465,22 +432,49 @@ def _open_pairs(buckets: DataFrame, near: DataFrame, tested: DataFrame | None,
     rows = (_cells(member, "key", _bucket_blocks())
             .select("cell", "pair", "home", "node", "comp", "cluster")
             .join(near.select("node", "n", "regs"), "node"))
-    if tested is None:
-        rows = rows.withColumn("failed", F.lit(None).cast("array<bigint>"))
-    else:
-        failed = tested.filter("not linked")
-        failed = failed.select(F.col("a").alias("node"), F.col("b").alias("other")) \
-            .union(failed.select("b", "a")).groupBy("node") \
-            .agg(F.collect_set("other").alias("failed"))
-        rows = rows.join(failed, "node", "left")
-    return (_by_cell(rows.select("cell", "pair", "home", "node", "comp", "cluster", "n", "regs",
-                                 "failed"))
-            .mapInArrow(_across(percent, tries), "a long, b long, j double")
-            .groupBy("a", "b").agg(F.max("j").alias("j")).select("a", "b"))
+    dealt = _by_cell(rows.select("cell", "pair", "home", "node", "comp", "cluster", "n", "regs"))
+    found = tx.mapped(dealt, _reachable(percent), "group long, node long").distinct()
+    return found.join(near.select("node", "n"), "node").select("node", F.col("group").alias("cluster"), "n")
+
+
+def _nodes(name: str):
+    """Fill a column with the hash of each row's shingle set."""
+    def run(batches):
+        for batch in batches:
+            found = []
+            for _, _, data, offsets in tx.text_chunks(batch):
+                found += [np.add.reduce(tx.mix(x)) for x in shingle_sets(data, offsets)]
+            column = pa.array(np.array(found, np.uint64).view(np.int64))
+            place = batch.schema.get_field_index(name)
+            yield pa.RecordBatch.from_arrays(
+                [column if i == place else c for i, c in enumerate(batch.columns)],
+                names=batch.schema.names)
+    return run
 
 
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each group: the rows of ``docs`` whose verdict is ``kept``."""
-    dropped = tx.stored(link(docs, percent).filter("NOT kept").select("doc_id").distinct(),
-                        "dropped")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """One document of each group: the rows of ``docs`` whose verdict is ``kept``.
+
+    Where one doc_id stands at several texts, of which some are kept and some are not, the verdict
+    goes by text too: such rows are told apart by their shingle set, which is made again for them only.
+    """
+    with tx.temporary(docs.sparkSession):
+        verdicts = tx.stored(_verdicts(docs, percent).groupBy("doc_id", "node").agg(
+            F.bool_or("kept").alias("kept")), "kept", keep=True)
+    by_id = tx.stored(verdicts.groupBy("doc_id").agg(
+        F.bool_or("kept").alias("some"), F.bool_and("kept").alias("whole"))
+        .filter("NOT whole AND doc_id IS NOT NULL"), "dropped")
+    left = docs.join(by_id.filter("NOT some").select("doc_id"), "doc_id", "left_anti") \
+        .select(*docs.columns)
+    mixed = by_id.filter("some").select("doc_id")
+    if mixed.isEmpty():
+        return left
+    name = "node"
+    while name in docs.columns:
+        name += "_"
+    named = left.join(mixed, "doc_id", "left_semi").select(*docs.columns) \
+        .withColumn(name, F.lit(None).cast("long"))
+    gone = verdicts.filter("NOT kept").select("doc_id", F.col("node").alias(name))
+    told = named.mapInArrow(_nodes(name), named.schema).join(gone, ["doc_id", name], "left_anti")
+    return left.join(mixed, "doc_id", "left_anti").select(*docs.columns) \
+        .unionByName(told.select(*docs.columns))

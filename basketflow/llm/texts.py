@@ -7,8 +7,9 @@ and not the batch. Words are the runs ``[^\\x20\\x09-\\x0D]+`` of the UTF-8 byte
 
 from __future__ import annotations
 
-import uuid
+import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete_path, scratch_path
+
 CHUNK = 1 << 21
 
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -124,27 +127,48 @@ def per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder the cluster shares (spark.checkpoint.dir)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") \
-        or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        import tempfile
-        root = tempfile.mkdtemp(prefix="basketflow-llm-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+_temporary: list[list[str]] = []
+
 
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` written once to shared storage and read back: lineage ends here.
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to shared storage and read back: lineage ends here."""
-    path = scratch(df.sparkSession, name)
+    The table goes when the application clears its scratch folder, or at the end of a surrounding
+    ``temporary`` block unless it is to be kept.
+    """
+    path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    if _temporary and not keep:
+        _temporary[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables stored inside are deleted at the end, when nothing that is returned reads them."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        for path in _temporary.pop():
+            delete_path(spark, path)
+
+
+def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` whose tasks give freed memory back: the same workers serve later stages."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):   # a C library without it
+                pass
+
+    return df.mapInArrow(run, schema)
+
+
 def id_bucket(buckets: int, key: str = "doc_id") -> Column:
     """crc32 of the id as text modulo ``buckets``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % buckets

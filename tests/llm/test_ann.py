@@ -98,6 +98,34 @@ def test_blocks_meet_all_pairs(spark, monkeypatch):
     assert hit >= 0.9 * sum(map(len, want.values()))
 
 
+def test_small_isolated_groups_get_whole_results(spark, monkeypatch):
+    """A group with lists of its own holds fewer candidates than asked for."""
+    monkeypatch.setattr(ann, "LIST_ROWS", 10)
+    rng = np.random.default_rng(2)
+    ways = np.eye(10)
+    x = ways[np.arange(1000) % 9] + 0.01 * rng.normal(size=(1000, 10))
+    x[975:990] = ways[9] + 0.001 * rng.normal(size=(15, 10))         # 980 is a query
+    x = x.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], SCHEMA)
+    want = brute(np.arange(1000), x, 20)
+    got = results(ann.nearest(df))
+    assert {len(f) for f in got.values()} == {20} and set(got) == set(want)
+    assert [v for _, v, _ in got[980]][:14] == [i for _, i in want[980]][:14]     # its own group first
+
+
+def test_one_vector_of_a_repeated_id_counts(spark):
+    rows = [(1, [3.0, 0.0], 0), (1, [1.0, 5.0], 0), (1, [2.0, 9.0], 0), (20, [1.0, 1.0], 0), (3, [1.0, 0.0], 0)]
+    for order in (rows, rows[::-1]):
+        got = results(ann.nearest(spark.createDataFrame(order, SCHEMA).repartition(3)))
+        assert [(v, s) for _, v, s in got[20]] == [(1, 6.0), (3, 1.0)]
+
+
+def test_columns_named_as_inside(spark):
+    frame = spark.createDataFrame([(k, [float(k), 1.0], 0) for k in range(1, 50)], SCHEMA)
+    clash = frame.selectExpr("*", *[f"'x' AS {c}" for c in ("id", "v", "list", "rank", "d", "block", "got")])
+    assert sorted(ann.nearest(clash).collect()) == sorted(ann.nearest(frame).collect())
+
+
 def test_unusable_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0], 1), (1, [2.0, 1.0], 1), (1, [2.0, 1.0], 1), (2, None, 1), (3, [0.0, 0.0], 1),

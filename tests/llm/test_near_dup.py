@@ -105,3 +105,41 @@ def test_keep_one_keeps_the_smallest_id(make):
     text = "a b c d e f g h"
     docs = make((3, text), (1, text), (2, text + " i"), (4, "other words stand here"), (5, None))
     assert sorted(r.doc_id for r in near_dup.keep_one(docs).collect()) == [1, 2, 4, 5]
+
+
+@pytest.mark.parametrize("copies,edits", [(150, 4), (150, 5), (150, 6), (60, 8)])
+def test_many_copies_around_the_threshold(make, copies, edits):
+    """Groups whose members resemble each other by about 0.75 to 0.9: some pairs link, most do not."""
+    rng = random.Random(edits)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for k in range(copies):
+        own = list(base)
+        for at in rng.sample(range(400), edits):
+            own[at] = f"v{rng.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    check(make(*rows))
+
+
+def test_groups_across_clusters_name_classes_and_no_pairs(make, monkeypatch):
+    """Rows of a bucket come out once each, however many of them are apart."""
+    rng = np.random.default_rng(1)
+    base = np.unique(rng.integers(0, 2**64, 600, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([base[rng.random(len(base)) > 0.1],
+                                      rng.integers(0, 2**64, 40, dtype=np.uint64)])) for _ in range(500)]
+    regs = near_dup.registers(sets)
+    node = np.arange(500)
+    batch = near_dup.pa.record_batch({
+        "cell": np.zeros(500, np.int64), "pair": np.zeros(500, bool), "home": np.zeros(500, np.int64),
+        "node": node, "comp": node, "cluster": node, "n": np.array([len(s) for s in sets]),
+        "regs": near_dup.pa.array([r.tobytes() for r in regs], near_dup.pa.binary())})
+    out = list(near_dup._reachable(85)(iter([batch])))
+    assert sum(b.num_rows for b in out) <= 500 and len({g for b in out for g in b.column("group").to_pylist()}) == 1
+
+
+def test_keep_one_drops_rows_and_not_ids(make, spark):
+    a, b, c = "a b c d e f g", "other words that stand in here", "third text of its own kind"
+    docs = make((1, a), (2, a), (2, b), (3, c), (3, a), (4, b)).selectExpr("*", "1 AS node", "'x' AS kept")
+    got = near_dup.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, a), (2, b), (3, c)]
