@@ -17,16 +17,18 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketflow.operators.funnel import funnel_daily
+from basketflow.operators.increments import activity_masks
 from basketflow.operators.latest import latest_by_key
 from basketflow.operators.replay import sort_replay
-from basketflow.operators.funnel import funnel_daily
 from basketflow.operators.retention import retention_matrix
 from basketflow.operators.rfm import user_profile
 from basketflow.operators.rollups import (
     active_user_daily, brand_stats_daily, category_stats_daily, item_stats_daily,
 )
 from basketflow.operators.windows import brand_windows, global_windows
-from basketflow.plans.serving import product_metrics, product_ranking
+from basketflow.operators.sketches import brand_sketches
+from basketflow.plans.serving import product_metrics, product_ranking, product_ranking_seeking
 from basketflow.schema import DETAIL
 from basketflow.session import build_session
 from basketflow.sources.files import read_detail, write_detail
@@ -37,6 +39,7 @@ JOBS = {
     "retention": retention_matrix,
     "profiles": user_profile,
     "product_ranking": product_ranking,
+    "product_ranking_seeking": product_ranking_seeking,
     "product_ranking_approx": lambda d: product_ranking(d, exact_uv=False),
     "product_metrics": product_metrics,
     "items": item_stats_daily,
@@ -48,6 +51,9 @@ JOBS = {
     "latest": lambda d: latest_by_key(
         d.select("user_id", "product_id", "event_time", "event_type"), ["user_id"], "event_time"),
     "sort_replay": sort_replay,
+    "activity_masks": activity_masks,
+    "brand_sketches": brand_sketches,
+    "one_day_masks": lambda d: activity_masks(d.filter("event_date = '2019-11-10'")),
 }
 
 
