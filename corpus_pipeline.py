@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet to
 the shared checkpoint folder and hands the reread table to the next one. All but the last keep
 the columns of documents.
+
+Defined cases, stage by stage as in the operators' own modules: null and empty texts pass every stage
+(they are not toxic, hold no lines or shingles, have size 0 and no tokens); very long texts are
+treated whole; repeated rows share a verdict, and of equal documents the smallest doc_id stays; an id
+that stands at several texts is judged text by text; ties go to the smaller id; an empty table gives
+an empty one; extra columns, whatever their names, are carried through to the last stage.
 """
 
 from __future__ import annotations
@@ -16,7 +22,8 @@ from basketflow.llm.queries import TOXIC_FROM, WORD_BPE, table
 from basketflow.llm.shipping import ship
 
 # Learned lexicon, automata, near-duplicate components, Newton steps and merges: no SQL form.
-# tests/llm/test_pipeline.py holds every stage against a brute-force version instead.
+# tests/llm holds near duplicates and BPE against brute force and library, the other stages against
+# their operators' tests.
 ORACLE_SQL = None
 
 
