@@ -28,6 +28,21 @@ def test_columns_and_odd_rows_survive(stage, odd, nothing, name):
     assert stage(name, nothing).count() == 0
 
 
+def test_bpe_stage_takes_odd_rows(stage, odd, nothing):
+    got = stage("bpe", odd).collect()
+    assert len(got) == odd.count()
+    assert {r.n_tokens for r in got if r.doc_id in (1, 2, 3, 7)} == {0}
+    assert stage("bpe", nothing).count() == 0
+
+
+def test_near_stage_loses_no_text(stage, make):
+    """Ids that stand at several texts: every text is still there once the copies have gone."""
+    a, b, c = "a b c d e f g", "other words that stand in here", "third text of its own kind"
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, a), (4, b), (4, c)]
+    got = [r.text for r in stage("near duplicates", make(*rows)).collect()]
+    assert sorted(got) == sorted([a, b, c])
+
+
 def test_line_stage_drops_copies_and_keeps_the_rest(stage, make):
     docs = make((1, f"first\n{LONG}"), (2, f"first\n{LONG}"), (3, f"third\n{LONG}"), (4, ""), (5, None))
     got = {r.doc_id: (r.text, r.n_chars) for r in stage("line dedup", docs).collect()}
@@ -49,7 +64,7 @@ def test_run(spark, sf_dir):
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
 
 
