@@ -12,7 +12,7 @@ A bucket of n classes is never expanded into its pairs. Every class names one hu
 class of the bucket it resembles most; classes connected through hubs form a cluster. Inside
 a cluster all intersections are counted exactly on full shingle sets, in cells of bounded size that
 together hold every pair, and a cell returns one link per class, not its pairs. Where a bucket holds
-classes of different clusters that are still apart, those that could reach one another are named
+classes of different clusters, those that could reach one another are named
 (a row a class and bucket, no pairs), equal groups from several buckets fold into one, and each
 group is counted exactly in the same cells. After that every pair that shares a bucket has been
 decided on full sets.
@@ -242,14 +242,13 @@ def _exact_cell(percent: int):
 
 
 def _reachable(percent: int):
-    """Per cell of a bucket: its classes that could reach a class of another cluster and component,
-    as a group named by its members."""
+    """Per cell of a bucket: its classes that could reach a class of another cluster, as a group
+    named by its members."""
     def run(batches):
         for table in _groups(batches, "cell"):
-            node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
+            node, cluster = table.column("node").to_numpy(), table.column("cluster").to_numpy()
             home, pair = table.column("home").to_numpy(), table.column("pair").to_numpy()
-            cluster = table.column("cluster").to_numpy()
-            if len(node) < 2 or (comp == comp[0]).all() or (cluster == cluster[0]).all():
+            if len(node) < 2 or (cluster == cluster[0]).all():
                 continue
             size = table.column("n").to_numpy()
             regs = _regs(table.column("regs").combine_chunks())
@@ -257,8 +256,7 @@ def _reachable(percent: int):
             for low in range(0, len(node), AT_ONCE):
                 part = np.arange(low, min(low + AT_ONCE, len(node)))
                 _, good = _possible(regs, size, part, percent)
-                good &= (comp[part][:, None] != comp[None, :]) \
-                    & (cluster[part][:, None] != cluster[None, :])
+                good &= cluster[part][:, None] != cluster[None, :]
                 if pair[0]:     # a cell of two blocks: pairs inside a block have their own cell
                     good &= home[part][:, None] != home[None, :]
                 found[part] = good.any(axis=1)
@@ -374,7 +372,7 @@ def _verdicts(docs: DataFrame, percent: int) -> DataFrame:
     sets = _full(docs, classes, clusters.select("node"))
     edges = tx.stored(_inside(near, sets, percent), "links")
 
-    groups = tx.stored(_open_groups(buckets, near, _labels(classes, edges), percent), "groups")
+    groups = tx.stored(_open_groups(buckets, near, percent), "groups")
     edges = edges.union(_inside(groups, sets, percent))
     labels = _labels(classes, edges)
 
@@ -417,22 +415,18 @@ def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
         .select("node", F.coalesce("root", "node").alias("comp"))
 
 
-def _open_groups(buckets: DataFrame, near: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(node, cluster, n): groups of classes that share a bucket, are apart and could be linked.
-
-    A group that several buckets name is there once.
+def _open_groups(buckets: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """(node, cluster, n): groups of classes that share a bucket, lie in different clusters and could
+    be linked. A group that several buckets name is there once.
     """
-    placed = near.select("node", "cluster").join(labels, "node")
-    member = buckets.join(placed, "node")
+    member = buckets.join(near.select("node", "cluster"), "node")
     mixed = member.groupBy("key").agg(
-        F.min("cluster").alias("low"), F.max("cluster").alias("high"),
-        F.min("comp").alias("first"), F.max("comp").alias("last")) \
-        .filter("low <> high AND first <> last").select("key")
+        F.min("cluster").alias("low"), F.max("cluster").alias("high")) \
+        .filter("low <> high").select("key")
     member = member.join(tx.stored(mixed, "mixed"), "key", "left_semi")
-    rows = (_cells(member, "key", _bucket_blocks())
-            .select("cell", "pair", "home", "node", "comp", "cluster")
-            .join(near.select("node", "n", "regs"), "node"))
-    dealt = _by_cell(rows.select("cell", "pair", "home", "node", "comp", "cluster", "n", "regs"))
+    rows = _cells(member, "key", _bucket_blocks()).select("cell", "pair", "home", "node", "cluster") \
+        .join(near.select("node", "n", "regs"), "node")
+    dealt = _by_cell(rows.select("cell", "pair", "home", "node", "cluster", "n", "regs"))
     found = tx.mapped(dealt, _reachable(percent), "group long, node long").distinct()
     return found.join(near.select("node", "n"), "node").select("node", F.col("group").alias("cluster"), "n")
 

@@ -131,7 +131,7 @@ def test_groups_across_clusters_name_classes_and_no_pairs(make, monkeypatch):
     node = np.arange(500)
     batch = near_dup.pa.record_batch({
         "cell": np.zeros(500, np.int64), "pair": np.zeros(500, bool), "home": np.zeros(500, np.int64),
-        "node": node, "comp": node, "cluster": node, "n": np.array([len(s) for s in sets]),
+        "node": node, "cluster": node, "n": np.array([len(s) for s in sets]),
         "regs": near_dup.pa.array([r.tobytes() for r in regs], near_dup.pa.binary())})
     out = list(near_dup._reachable(85)(iter([batch])))
     assert sum(b.num_rows for b in out) <= 500 and len({g for b in out for g in b.column("group").to_pylist()}) == 1
