@@ -61,9 +61,18 @@ def _viewers(events: DataFrame) -> DataFrame:
 
 
 def item_stats_daily(events: DataFrame) -> DataFrame:
+    """Items have about as many rows as events, so no event is doubled for a second side.
+
+    One row per viewer and one for everything else already carries all measures. Both steps group by
+    columns that include the product, so behind a product join neither shuffles again.
+    """
     key = list(ITEM_STATS.key)
-    sides = _sides(_viewers(events), key, "brand", "viewer")
-    stats = _labelled(sides, key, "brand", *_summed("brand"), _distinct("viewer").alias("view_uv"))
+    counts = [cond_count(t).alias(f"{t}_cnt") for t in EVENT_TYPES]
+    viewers = _viewers(events).groupBy(*key, "viewer").agg(
+        *counts, cond_cents(PURCHASE).alias("cents"), F.max("brand").alias("brand"))
+    stats = viewers.groupBy(*key).agg(
+        *[F.sum(c).alias(c) for c in ("view_cnt", "cart_cnt", "purchase_cnt", "cents")],
+        F.count("viewer").alias("view_uv"), F.max("brand").alias("brand"))
     return ITEM_STATS.conform(stats.withColumns({
         "gmv": money(F.col("cents")), "buy_rate": rate(F.col("purchase_cnt"), F.col("view_cnt"))}))
 

@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from basketflow.functions.metrics import approx_uv
-from basketflow.operators import quantiles, replay, retention, rfm
+from basketflow.operators import quantiles, replay, retention, rfm, rollups
 from basketflow.operators.clusters import fit_clusters
 from basketflow.operators.dim_user import contradictions, dim_user
 from basketflow.operators.funnel import funnel_daily, funnel_stages
@@ -267,3 +267,14 @@ def test_replay_slices_are_in_time_order(spark, sf_dir):
     for part in parts:
         times = [r.event_time for r in part]
         assert times == sorted(times)
+
+
+def test_a_viewer_of_an_item_under_two_brands_counts_once(spark):
+    rows = [row("2024-01-01 00:00:01", brand="a"), row("2024-01-01 00:00:02", brand="b"),
+            row("2024-01-01 00:00:03", user=2, brand="a"), row("2024-01-01 00:00:04", user=None, brand="a"),
+            row("2024-01-01 00:00:05", "purchase", user=3, brand=None, price="2.50", session="s"),
+            row("2024-01-01 00:00:06", "cart", product=2, brand=None)]
+    got = {r.product_id: r for r in rollups.item_stats_daily(events(spark, rows)).collect()}
+    assert (got[1].brand, got[1].view_cnt, got[1].view_uv, got[1].purchase_cnt) == ("b", 4, 2, 1)
+    assert str(got[1].gmv) == "2.50"
+    assert (got[2].brand, got[2].view_uv, got[2].cart_cnt, got[2].buy_rate) == (None, 0, 1, None)

@@ -82,6 +82,14 @@ def test_daily_tables_read_detail_once(detail, stats):
     assert "Join" not in plan
 
 
+def test_items_do_not_double_events(detail):
+    """Behind a product join both steps of the item table take its partitions as they are."""
+    assert "Expand" not in plan_of(rollups.item_stats_daily(detail))
+    dealt = detail.repartition(4, "product_id")
+    plan = plan_of(rollups.item_stats_daily(dealt))
+    assert sum("Exchange" in line and line.startswith("(") for line in plan.splitlines()) == 1
+
+
 def test_newest_rows_read_few_days(spark, tmp_path_factory):
     """Months of windows, of which some were written several times."""
     path = str(tmp_path_factory.mktemp("plans") / "months")
