@@ -90,6 +90,11 @@ def test_items_do_not_double_events(detail):
     assert sum("Exchange" in line and line.startswith("(") for line in plan.splitlines()) == 1
 
 
+def test_ranking_from_items_does_not_double_events(detail):
+    plan = plan_of(product_ranking(detail, items=rollups.item_stats_daily(detail)))
+    assert "Expand" not in plan
+
+
 def test_newest_rows_read_few_days(spark, tmp_path_factory):
     """Months of windows, of which some were written several times."""
     path = str(tmp_path_factory.mktemp("plans") / "months")
