@@ -32,8 +32,10 @@ def ref_date(events: DataFrame) -> DataFrame:
 
 
 def rfm_base(events: DataFrame) -> DataFrame:
-    """One row per user. The reference date is a scalar subquery over one column, not a collect."""
-    return recency(last_days(events), ref_date(events).scalar())
+    """One row per user, pinned with the last day, so events are read once: the reference date is the
+    newest of those days, a scalar subquery over one column and not a collect."""
+    kept = pinned(last_days(events))
+    return recency(kept, kept.agg(F.max("last_date").alias("ref_date")).scalar())
 
 
 def last_days(events: DataFrame) -> DataFrame:
@@ -159,11 +161,9 @@ def user_profile(events: DataFrame, computed_at: Column | None = None,
                  distinct_cuts: bool = False) -> DataFrame:
     """The whole customer segmentation.
 
-    Events are read once: users are pinned with their last day, and the reference date is the
-    newest of those.
+    Events are read once: the users of ``rfm_base`` are pinned.
     """
-    kept = pinned(last_days(events))
-    users = recency(kept, kept.agg(F.max("last_date").alias("ref_date")).scalar())
+    users = rfm_base(events)
     scored = rfm_scores(users, rfm_quantiles(users, relative_error), distinct_cuts)
     stamped = attach_segments(rfm_kmeans(users, k, seed).clustered(scored)).withColumn(
         "computed_at", F.current_timestamp() if computed_at is None else computed_at)

@@ -10,7 +10,7 @@ from basketflow.operators.funnel import funnel_daily
 from basketflow.operators.retention import retention_matrix
 from basketflow.operators.windows import brand_windows
 from basketflow.plans.serving import overview, product_ranking, product_ranking_seeking
-from basketflow.operators.rfm import last_days
+from basketflow.operators.rfm import last_days, rfm_base
 from basketflow.schema import REALTIME_BRAND, REALTIME_GLOBAL
 from basketflow.sources import files
 from basketflow.sources.files import (
@@ -55,6 +55,13 @@ def test_profiles_read_events_once(detail):
     assert sum(line.startswith("(") and "Scan parquet" in line for line in plan.splitlines()) == 1
 
 
+def test_rfm_base_reads_pinned_users_only(spark, detail):
+    """Whatever is made of the users, events are not read and joined again."""
+    users = rfm_base(detail)
+    assert not set(users.inputFiles()) & set(detail.inputFiles())
+    assert "event_type" not in plan_of(users)
+
+
 def test_a_day_range_of_a_stream_table_prunes_folders(spark, tmp_path_factory, detail):
     path = str(tmp_path_factory.mktemp("plans") / "windows")
     append_version(brand_windows(detail), path, 3)
