@@ -23,6 +23,8 @@ STREAMING_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # The total of rows is only reported, and would cost a look into the state for every row written.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     # Of several sources the fastest decides, so one that has gone quiet holds nothing back.
     "spark.sql.streaming.multipleWatermarkPolicy": "max",
 }

@@ -28,12 +28,12 @@ def generation_of(spark: SparkSession, path: str, checkpoint: str) -> int:
 
 def versioned_sink(path: str, generation: int = 0) -> Callable[[DataFrame, int], None]:
     """A foreachBatch writer: a replayed batch overwrites its own folders, an empty one writes
-    nothing. The batch is kept while it is looked at and written, so its plan, state included, runs
-    once."""
+    nothing. The batch is kept while it is counted and written, so its plan, state included, runs
+    once, and in one job: looking for a first row would take the state's partitions a few at a time."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            if not batch.isEmpty():
+            if batch.count():
                 append_version(batch, path, batch_id, generation)
         finally:
             batch.unpersist()

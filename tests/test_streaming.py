@@ -13,6 +13,7 @@ from basketflow.sources.star import behavior
 from basketflow.streaming.queries import (
     LateRows, await_all, start_all, start_windows, windowed_outputs, with_event_time,
 )
+from basketflow.streaming.sinks import versioned_sink
 from builders import events, row
 
 ONCE = {"availableNow": True}
@@ -208,3 +209,17 @@ def test_compaction_leaves_one_row_per_key(spark, tmp_path, slices):
     early = spark.read.parquet(path).filter("_day < '2024-01-15'")
     assert early.count() == early.select("window_start", "brand").distinct().count()
     assert compact(spark, path, REALTIME_BRAND, "2024-01-15") == 0
+
+
+def test_an_empty_batch_is_looked_at_in_one_pass(spark, tmp_path):
+    """A first row is not searched for in one partition, then four, then more."""
+    none = spark.range(0, 400, 1, 200).filter("id < 0").select(
+        F.timestamp_seconds("id").alias("window_start"), "id")
+    context = spark.sparkContext
+    spark.conf.set("spark.sql.adaptive.enabled", "false")       # as streams with state run
+    context.setJobGroup("look", "look")
+    versioned_sink(str(tmp_path / "t"))(none, 0)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(context.statusTracker().getJobIdsForGroup("look")) <= 2
+    assert not (tmp_path / "t").exists()
