@@ -181,10 +181,13 @@ def append_version(rows: DataFrame, path: str, batch: int, generation: int = 0,
 
     The same batch written again replaces itself. An empty batch writes nothing.
     """
-    (rows.withColumns({DAY: F.to_date("window_start"),
-                       GENERATION: F.lit(generation).cast("int"),
-                       BATCH: F.lit(batch).cast("bigint"), PASS: F.lit(compacted).cast("int")})
-     .hint("rebalance", DAY).write.mode("overwrite")
+    _write_versions(rows.withColumns({
+        DAY: F.to_date("window_start"), GENERATION: F.lit(generation).cast("int"),
+        BATCH: F.lit(batch).cast("bigint"), PASS: F.lit(compacted).cast("int")}), path)
+
+
+def _write_versions(rows: DataFrame, path: str) -> None:
+    (rows.hint("rebalance", DAY).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path))
 
 
@@ -258,17 +261,25 @@ def compact(spark: SparkSession, path: str, table: Table, before: str) -> int:
     """Leave one row per key in every day before ``before``; returns the days rewritten.
 
     The merged rows carry the newest version of their day plus one pass, so readers that see
-    both old and new rows still take the right ones. Old folders go only after the new one is
-    complete. Meant for days the stream no longer writes to.
+    both old and new rows still take the right ones. All days are merged by one job, which costs
+    as much as their rows and not a job a day. Old folders go only after the new ones are complete.
+    Meant for days the stream no longer writes to.
     """
     days: dict[str, list] = {}
     for day, version, folder in _folders(spark, path):
         if day < before:
             days.setdefault(day, []).append((version, folder))
     busy = {day: held for day, held in days.items() if len(held) > 1}
-    for day, held in sorted(busy.items()):
-        generation, batch, done = max(version for version, _ in held)
-        append_version(read_latest(spark, path, table, day, day), path, batch, generation, done + 1)
+    if not busy:
+        return 0
+    newest = {day: max(version for version, _ in held) for day, held in busy.items()}
+    merged = latest_by_key(_stored(spark, path, table, sorted(busy)), table.key, VERSION)
+    marks = spark.createDataFrame(          # a row a day
+        [(day, generation, batch, done + 1) for day, (generation, batch, done) in newest.items()],
+        LAYOUT_DDL.replace(f"{DAY} date", f"{DAY} string")).withColumn(DAY, F.col(DAY).cast("date"))
+    rows = table.conform(merged).withColumn(DAY, F.to_date("window_start"))
+    _write_versions(rows.join(F.broadcast(marks), DAY), path)
+    for held in busy.values():
         for _, folder in held:
             delete_path(spark, folder)
     return len(busy)

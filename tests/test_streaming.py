@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketflow.operators.replay import replay_slices
 from basketflow.operators.windows import brand_windows, category_windows, global_windows
 from basketflow.schema import DETAIL, REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL
+from basketflow.sources import files
 from basketflow.sources.files import append_version, compact, read_detail, read_latest
 from basketflow.sources.star import behavior
 from basketflow.streaming.queries import (
@@ -223,3 +224,20 @@ def test_an_empty_batch_is_looked_at_in_one_pass(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(context.statusTracker().getJobIdsForGroup("look")) <= 2
     assert not (tmp_path / "t").exists()
+
+
+def test_compaction_merges_all_days_at_once(spark, tmp_path, monkeypatch):
+    """Days whose newest versions differ go into one write, each with its own version."""
+    path = str(tmp_path / "t")
+    for batch, times in enumerate((["2024-01-01", "2024-01-02"], ["2024-01-01"], ["2024-01-02", "2024-01-03"])):
+        rows = events(spark, [row(f"{day} 00:00:0{batch}") for day in times])
+        append_version(brand_windows(rows, "1 day"), path, batch, generation=batch % 2)
+    want = sorted(map(str, read_latest(spark, path, REALTIME_BRAND).collect()))
+    writes, write = [], files._write_versions
+    monkeypatch.setattr(files, "_write_versions", lambda *a: (writes.append(a), write(*a)))
+    assert compact(spark, path, REALTIME_BRAND, "2024-01-09") == 2
+    assert len(writes) == 1
+    stored = spark.read.parquet(path)
+    kept = {(str(r["_day"]), r["_generation"], r["_batch"], r["_pass"]) for r in stored.collect()}
+    assert kept == {("2024-01-01", 1, 1, 1), ("2024-01-02", 0, 2, 1), ("2024-01-03", 0, 2, 0)}
+    assert sorted(map(str, read_latest(spark, path, REALTIME_BRAND).collect())) == want
