@@ -629,7 +629,7 @@ def stream_idle_source(spark, sf_dir):
     sources = []
     for name, rows in (("busy", events.filter(~early)), ("quiet", events.filter(early))):
         path = scratch_path(spark, name)
-        rows.coalesce(1).write.parquet(path)
+        rows.write.parquet(path)
         sources.append(sibling.readStream.schema(DETAIL.schema).parquet(path))
     out = scratch_path(spark, "idle")
     stats = streams.windowed_outputs(streams.one_of_many(*sources), "60 seconds", delay=None)

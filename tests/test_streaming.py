@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from basketflow.operators.replay import replay_slices
 from basketflow.operators.windows import brand_windows, category_windows, global_windows
+from basketflow.plans import catalog
 from basketflow.schema import DETAIL, REALTIME_BRAND, REALTIME_CATEGORY, REALTIME_GLOBAL
-from basketflow.sources import files
+from basketflow.session import scratch_path
+from basketflow.sources import files, star
 from basketflow.sources.files import append_version, compact, read_detail, read_latest
 from basketflow.sources.star import behavior
 from basketflow.streaming.queries import (
@@ -241,3 +243,16 @@ def test_compaction_merges_all_days_at_once(spark, tmp_path, monkeypatch):
     kept = {(str(r["_day"]), r["_generation"], r["_batch"], r["_pass"]) for r in stored.collect()}
     assert kept == {("2024-01-01", 1, 1, 1), ("2024-01-02", 0, 2, 1), ("2024-01-03", 0, 2, 0)}
     assert sorted(map(str, read_latest(spark, path, REALTIME_BRAND).collect())) == want
+
+
+@pytest.mark.parametrize("name, inboxes", [("stream_idle_source", ["busy"])])
+def test_input_of_streams_is_written_in_parallel(spark, sf_dir, monkeypatch, name, inboxes):
+    monkeypatch.setattr(star, "behavior", lambda *a: behavior(*a).repartition(3))
+    made = []
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, n: made.append(scratch_path(s, n)) or made[-1])
+    catalog.queries()[name](spark, sf_dir).collect()
+    for inbox in inboxes:
+        path = next(p for p in made if p.rsplit("/", 1)[1].startswith(inbox))
+        sizes = [r.n for r in spark.read.parquet(path).groupBy(F.input_file_name())
+                 .agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) >= 3 and max(sizes) < sum(sizes) / 2
