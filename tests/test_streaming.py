@@ -245,7 +245,7 @@ def test_compaction_merges_all_days_at_once(spark, tmp_path, monkeypatch):
     assert sorted(map(str, read_latest(spark, path, REALTIME_BRAND).collect())) == want
 
 
-@pytest.mark.parametrize("name, inboxes", [("stream_idle_source", ["busy"])])
+@pytest.mark.parametrize("name, inboxes", [("stream_idle_source", ["busy"]), ("stream_late", ["late-in"])])
 def test_input_of_streams_is_written_in_parallel(spark, sf_dir, monkeypatch, name, inboxes):
     monkeypatch.setattr(star, "behavior", lambda *a: behavior(*a).repartition(3))
     made = []
