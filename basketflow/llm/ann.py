@@ -9,7 +9,9 @@ measured on the table itself: ``PROBES`` of the queries are compared with all ro
 many as give these probes a recall of ``RECALL``, up to all lists. Lists are cut into blocks of
 bounded size by hash, so a list with a third of all rows is many tasks. Inside a block, all queries of the list meet its
 vectors in matrix products of bounded size; blocks return their best ``k`` per query and those
-are merged by rank.
+are merged by rank. Lists are read in rounds, each ``WIDER`` times as far as the one before, and from the
+second round on blocks return only what reaches the query's ``k``-th best so far: what is merged grows with
+the logarithm of the lists and not with the lists, and nothing of the result is lost.
 
 Inner product is turned into distance by one more coordinate: sqrt(M^2 - |x|^2) for a stored vector,
 with M the largest norm, and 0 for a query, which is scaled to M. The squared distance is then 2M^2
@@ -46,6 +48,7 @@ REPLICATE = 1.15         # squared-distance ratio up to which a vector is copied
 COPIES = 4
 PROBES = 256             # queries compared with all rows to see how many lists must be read
 RECALL = 0.99            # of the probes; the other queries differ from them by chance
+WIDER = 4                # a round reads so many times the lists read before it
 BLOCK = 4096             # rows of a block, about
 TILE = 512               # queries multiplied at a time
 
@@ -178,16 +181,17 @@ def _assign(shared, ratio: float, most: int):
     return run
 
 
-def _ask(shared, lists: int):
-    """Queries, once for each list they read."""
+def _ask(shared, start: int, end: int):
+    """Queries (id, v, bound), once for each list they read: of their order those from start to end."""
     def run(batches):
         for batch in batches:
             x = _matrix(batch.column(1)) if batch.num_rows else np.empty((0, 1))
             for low in range(0, len(x), TILE):
-                order = shared.value.nearest_first(x[low:low + TILE])[:, :lists]
+                order = shared.value.nearest_first(x[low:low + TILE])[:, start:end]
                 take = pa.array(np.repeat(np.arange(low, low + len(order)), order.shape[1]))
                 yield pa.record_batch({"id": batch.column(0).take(take),
                                        "v": batch.column(1).take(take),
+                                       "bound": batch.column(2).take(take),
                                        "list": order.ravel().astype(np.int64)})
     return run
 
@@ -261,8 +265,10 @@ def _distinct(ids: np.ndarray, x: np.ndarray, k: int):
     return x[sample], holders
 
 
-def _best(q_ids: np.ndarray, q: np.ndarray, x: np.ndarray, holders: np.ndarray, k: int):
-    """k best candidates per query: (query, id, score), equal scores to the smaller id.
+def _best(q_ids: np.ndarray, q: np.ndarray, x: np.ndarray, holders: np.ndarray, k: int,
+          bound: np.ndarray):
+    """k best candidates per query that reach its bound: (query, id, score), equal scores to the
+    smaller id.
 
     A matrix product picks the vectors; their scores are then summed in one fixed order, so that
     equal vectors score alike wherever they are stored.
@@ -278,7 +284,7 @@ def _best(q_ids: np.ndarray, q: np.ndarray, x: np.ndarray, holders: np.ndarray,
     query = np.repeat(q_ids, order.shape[1])
     ids = np.take_along_axis(ids, order, 1).ravel()
     score = np.take_along_axis(score, order, 1).ravel()
-    keep = np.isfinite(score)
+    keep = np.isfinite(score) & (score >= np.repeat(bound, len(score) // len(q_ids)))
     return query[keep], ids[keep], score[keep]
 
 
@@ -288,8 +294,10 @@ def _meet(k: int):
         if queries.num_rows and vectors.num_rows:
             x, holders = _distinct(vectors.column("id").to_numpy(), _matrix(vectors.column("v")), k)
             q_ids, q = queries.column("id").to_numpy(), _matrix(queries.column("v"))
+            bound = queries.column("bound").to_numpy()
             for low in range(0, len(q), TILE):
-                out.append(_best(q_ids[low:low + TILE], q[low:low + TILE], x, holders, k))
+                out.append(_best(q_ids[low:low + TILE], q[low:low + TILE], x, holders, k,
+                                 bound[low:low + TILE]))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()),
                          "vec_id": pa.array(columns[1], pa.int64()),
@@ -314,7 +322,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
                                        "id long, v array<double>, list long"), "postings")
     lists = lists_to_read(rows, stored, index, every, k)
     queries = rows.filter(F.col("id") % every == 0)
-    found = tx.stored(_searched(queries, stored, shared, lists, k), "found")
+    found = _searched(queries, stored, shared, lists, k)
     # Lists of small isolated groups may hold too few candidates: such queries read all lists.
     got = found.groupBy("query_id").agg(F.count("*").alias("got"))
     short = tx.stored(
@@ -328,26 +336,47 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
 
 def _searched(queries: DataFrame, stored: DataFrame, shared, lists: int, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best of the given number of lists."""
+    """(query_id, rank, vec_id, score): the k best of the given number of lists, round by round."""
+    sizes = tx.stored(stored.groupBy("list").agg(
+        F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")), "sizes")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found, start = None, 0
+    while start < lists:
+        end = min(lists, max(1, WIDER * start))
+        if found is None:
+            bounded = queries.select("id", "v", F.lit(-math.inf).alias("bound"))
+        else:
+            reached = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
+            bounded = queries.join(reached, F.col("id") == F.col("query_id"), "left").select(
+                "id", "v", F.coalesce("bound", F.lit(-math.inf)).alias("bound"))
+        more = _round(bounded, stored, sizes, shared, start, end, k)
+        if found is not None:
+            more = found.select("query_id", "vec_id", "score").unionByName(more)
+        found = tx.stored(
+            more.dropDuplicates(["query_id", "vec_id"])
+            .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"), "found")
+        start = end
+    return found
+
+
+def _round(queries: DataFrame, stored: DataFrame, sizes: DataFrame, shared, start: int, end: int,
+           k: int) -> DataFrame:
+    """(query_id, vec_id, score) out of the lists from start to end of each query's order."""
     asked = tx.stored(
-        queries.select("id", "v").mapInArrow(_ask(shared, lists), "id long, v array<double>, list long"),
-        "asked")
+        queries.mapInArrow(_ask(shared, start, end),
+                           "id long, v array<double>, bound double, list long"), "asked")
     # Both sides of a list are dealt in blocks by hash, and every two blocks meet.
-    sizes = [side.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias(name))
-             for side, name in ((stored, "blocks"), (asked, "turns"))]
-    sizes = tx.stored(sizes[0].join(sizes[1], "list"), "lists")
+    turns = asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("turns"))
+    cut = tx.stored(sizes.join(turns, "list"), "lists")
 
     def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
-        return side.join(sizes, "list").select(
+        rest = [c for c in side.columns if c != "list"]
+        return side.join(cut, "list").select(
             "list", F.pmod(F.xxhash64("id"), F.col(own)).alias(own[:-1]),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[:-1]),
-            "id", "v")
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[:-1]), *rest)
 
     cell = ["list", "block", "turn"]
-    found = (dealt(asked, "turns", "blocks").groupBy(*cell)
-             .cogroup(dealt(stored, "blocks", "turns").groupBy(*cell))
-             .applyInArrow(_meet(k), "query_id long, vec_id long, score double")
-             .dropDuplicates(["query_id", "vec_id"]))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (dealt(asked, "turns", "blocks").groupBy(*cell)
+            .cogroup(dealt(stored, "blocks", "turns").groupBy(*cell))
+            .applyInArrow(_meet(k), "query_id long, vec_id long, score double"))

@@ -138,3 +138,25 @@ def test_unusable_vectors_take_no_part(spark):
 
 def test_no_rows(spark):
     assert ann.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rounds_return_little_and_lose_nothing(spark, monkeypatch):
+    """Blocks of later rounds return only what reaches the k-th best so far, and the result is that of
+    one round over the same lists."""
+    monkeypatch.setattr(ann, "LIST_ROWS", 20)
+    x = directions(2000)
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], SCHEMA)
+    returned, once = [], ann._round
+    monkeypatch.setattr(ann, "_round", lambda *a: returned.append(once(*a).persist()) or returned[-1])
+    lists = []
+    monkeypatch.setattr(ann, "lists_to_read", lambda rows, stored, index, *a: lists.append(
+        len(index.centroids)) or lists[-1])
+    got = results(ann.nearest(df))
+    rows = sum(r.count() for r in returned)
+    assert len(returned) > 2 and lists[0] >= 100
+    assert rows < 0.25 * 100 * 20 * lists[0]                # k for every query and list
+    want = brute(np.arange(2000), x.astype(np.float64))
+    assert {q: [v for _, v, _ in f] for q, f in got.items()} == {
+        q: [i for _, i in f] for q, f in want.items()}
+    monkeypatch.setattr(ann, "WIDER", 10 ** 6)
+    assert results(ann.nearest(df)) == got
