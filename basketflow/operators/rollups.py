@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import cond_cents, cond_count, is_type, money, rate
+from ..functions.metrics import cond_cents, cond_count, cond_distinct, is_type, money, rate
 from ..schema import (
     ACTIVE_USER_DAILY, BRAND_STATS, CATEGORY_STATS, EVENT_TYPES, ITEM_STATS, PURCHASE, VIEW,
 )
@@ -63,16 +63,15 @@ def _viewers(events: DataFrame) -> DataFrame:
 def item_stats_daily(events: DataFrame) -> DataFrame:
     """Items have about as many rows as events, so no event is doubled for a second side.
 
-    One row per viewer and one for everything else already carries all measures. Both steps group by
-    columns that include the product, so behind a product join neither shuffles again.
+    The only distinct count goes by one row per viewer, which carries all other measures. Both of its
+    steps group by columns that include the product, so behind a product join neither shuffles again.
+    Who does not ask for viewers, as the ranking, is spared that step.
     """
     key = list(ITEM_STATS.key)
-    counts = [cond_count(t).alias(f"{t}_cnt") for t in EVENT_TYPES]
-    viewers = _viewers(events).groupBy(*key, "viewer").agg(
-        *counts, cond_cents(PURCHASE).alias("cents"), F.max("brand").alias("brand"))
-    stats = viewers.groupBy(*key).agg(
-        *[F.sum(c).alias(c) for c in ("view_cnt", "cart_cnt", "purchase_cnt", "cents")],
-        F.count("viewer").alias("view_uv"), F.max("brand").alias("brand"))
+    stats = events.groupBy(*key).agg(
+        *[cond_count(t).alias(f"{t}_cnt") for t in EVENT_TYPES],
+        cond_cents(PURCHASE).alias("cents"), cond_distinct(VIEW).alias("view_uv"),
+        F.max("brand").alias("brand"))
     return ITEM_STATS.conform(stats.withColumns({
         "gmv": money(F.col("cents")), "buy_rate": rate(F.col("purchase_cnt"), F.col("view_cnt"))}))
 

@@ -102,6 +102,15 @@ def test_ranking_from_items_does_not_double_events(detail):
     assert "Expand" not in plan
 
 
+def test_ranking_from_items_does_not_shuffle_viewers(detail):
+    """Events go to their items and items to their products; viewers are the item table's own."""
+    items = rollups.item_stats_daily(detail)
+    totals = plan_of(items.groupBy("product_id").agg(F.sum("view_cnt"), F.sum("gmv")))
+    assert "user_id" not in totals
+    assert sum("Exchange" in line and line.startswith("(") for line in totals.splitlines()) == 2
+    assert "user_id" in plan_of(items)
+
+
 def test_newest_rows_read_few_days(spark, tmp_path_factory):
     """Months of windows, of which some were written several times."""
     path = str(tmp_path_factory.mktemp("plans") / "months")
